@@ -8,9 +8,15 @@ from ..columns import SERIES, TARGET, WEEK_KEY
 DEFAULT_HORIZON = 52
 
 
+def keyed(rows):
+    """Rows that belong to a series. Dropping the others on the training and on the
+    test side alike also leaves both with one plan, so their shared input runs once."""
+    return rows.where(F.col("store").isNotNull() & F.col("item").isNotNull())
+
+
 def last_values(train):
     """Last observed value of each series; the model of the naive forecast."""
-    return train.groupBy(*SERIES).agg(
+    return keyed(train).groupBy(*SERIES).agg(
         F.max_by(TARGET, F.struct("year", "week_of_year")).cast("double").alias("last_value"),
         F.count(F.lit(1)).alias("train_rows"),
     )
@@ -18,9 +24,10 @@ def last_values(train):
 
 def test_lengths(train, test, default=DEFAULT_HORIZON):
     """Forecast horizon of each trained series: its number of test rows."""
-    counted = test.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("n"))
+    counted = keyed(test).groupBy(*SERIES).agg(F.count(F.lit(1)).alias("n"))
     return (
-        train.select(*SERIES)
+        keyed(train)
+        .select(*SERIES)
         .dropDuplicates()
         .join(counted, list(SERIES), "left")
         .select(*SERIES, F.coalesce("n", F.lit(default).cast("bigint")).alias("test_len"))
@@ -30,7 +37,7 @@ def test_lengths(train, test, default=DEFAULT_HORIZON):
 def with_step(test):
     """Number the test rows of a series 1, 2, ... in time order."""
     order = Window.partitionBy(*SERIES).orderBy("year", "week_of_year")
-    return test.select(*WEEK_KEY, TARGET).withColumn("h", F.row_number().over(order))
+    return keyed(test).select(*WEEK_KEY, TARGET).withColumn("h", F.row_number().over(order))
 
 
 def align_forecast(test, models, forecast, horizon=None):

@@ -1,7 +1,5 @@
 """Exploratory queries over the daily, weekly and gold layers."""
 
-from itertools import combinations
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -194,12 +192,27 @@ def item_volatility(weekly):
 
 
 def correlations(gold, columns=CORRELATED):
-    """Lower triangle of the Pearson matrix in long form, diagonal included."""
-    pairs = [(b, a) for a, b in combinations(columns, 2)] + [(c, c) for c in columns]
-    cells = [
-        F.struct(F.lit(a).alias("row"), F.lit(b).alias("column"), F.corr(a, b).alias("r")) for a, b in pairs
-    ]
-    return gold.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    """Lower triangle of the Pearson matrix in long form, diagonal included.
+
+    Each row is fanned out to one (column, value) pair per matrix row, which keeps
+    the aggregation small enough to compile; the pairs combine on the map side.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("row"), F.col(c).cast("double").alias("x")) for c in columns])
+    matrix = (
+        gold.select(*columns, F.inline(pairs))
+        .groupBy("row")
+        .agg(*[F.corr("x", F.col(c)).alias(c) for c in columns])
+    )
+    place = {c: i for i, c in enumerate(columns)}
+    index = F.element_at(F.create_map(*[F.lit(v) for kv in place.items() for v in kv]), F.col("row"))
+    cells = F.array(
+        *[F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.col(c).alias("r")) for c, i in place.items()]
+    )
+    return (
+        matrix.select("row", index.alias("at"), F.inline(cells))
+        .where(F.col("i") <= F.col("at"))
+        .select("row", "column", "r")
+    )
 
 
 def lag_pairs(gold, lag="lag_1_week"):

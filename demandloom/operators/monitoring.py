@@ -16,11 +16,13 @@ def match_actuals(predictions, weekly):
     return predictions.join(actuals, ["year", "week", *SERIES])
 
 
-def ground_truth_rmse(predictions, weekly):
-    """One row with the error on matched rows; null where nothing matched."""
+def ground_truth_errors(predictions, weekly):
+    """One row with the errors on matched rows; null where nothing matched."""
     error = F.col(TARGET) - F.col("sales_prediction")
     return match_actuals(predictions, weekly).agg(
-        F.sqrt(F.avg(error * error)).alias("rmse"), F.count(F.lit(1)).alias("matched_rows")
+        F.sqrt(F.avg(error * error)).alias("rmse"),
+        F.avg(F.abs(error)).alias("mae"),
+        F.count(F.lit(1)).alias("matched_rows"),
     )
 
 
@@ -51,12 +53,13 @@ def missing_data_alert(df, limit=NULL_LIMIT):
     )
 
 
-def distribution_drift(reference, current, value=TARGET):
-    """Two-sample Kolmogorov-Smirnov statistic and its asymptotic p-value."""
-    both = reference.select(value, F.lit(False).alias("_new")).unionByName(
-        current.select(value, F.lit(True).alias("_new"))
-    )
-    shares = running_shares(both, value, {"old": ~F.col("_new"), "new": F.col("_new")})
+def distribution_drift(rows, reference, current, value=TARGET):
+    """Two-sample Kolmogorov-Smirnov statistic and its asymptotic p-value.
+
+    ``reference`` and ``current`` are conditions that pick the two samples out of
+    ``rows``, so both come from one pass.
+    """
+    shares = running_shares(rows.where(reference | current), value, {"old": reference, "new": current})
     statistic = shares.agg(
         F.max(F.abs(F.col("old") - F.col("new"))).alias("statistic"),
         F.max("old_rows").alias("reference_rows"),

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..columns import SERIES, TARGET, WEEK_KEY
 from ..functions import iso_monday
+from .alignment import keyed
 
 YEAR_DAYS = 365.25
 FOURIER_ORDER = 10
@@ -65,7 +66,7 @@ def fit_seasonal(train, fit=ridge_fit):
     it cannot fit, or of fewer than two rows, keeps its last value as a constant.
     """
     points = (
-        train.withColumn("_day", iso_monday(F.col("year"), F.col("week_of_year")))
+        keyed(train).withColumn("_day", iso_monday(F.col("year"), F.col("week_of_year")))
         .groupBy(*SERIES, years_since_origin(F.col("_day")).alias("t"))
         .agg(
             F.sum(TARGET).cast("double").alias("total"),
@@ -126,7 +127,7 @@ def score_weeks(weeks, models):
 def seasonal_forecast(train, test, fit=ridge_fit):
     """Forecast table over the test rows, NaN for series without a model."""
     value = seasonal_value(iso_monday(F.col("year"), F.col("week_of_year")))
-    return test.join(fit_seasonal(train, fit), list(SERIES), "left").select(
+    return keyed(test).join(fit_seasonal(train, fit), list(SERIES), "left").select(
         *WEEK_KEY,
         F.col(TARGET).cast("double").alias(TARGET),
         F.coalesce(value, F.lit(float("nan"))).alias("prediction"),

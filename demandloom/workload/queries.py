@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..columns import HISTORY_COLUMNS, SERIES, TARGET, WEEK_KEY
+from ..columns import GOLD_SCALARS, HISTORY_COLUMNS, SERIES, TARGET, WEEK_KEY
 from ..functions import iso_monday
 from ..operators import (
     alignment,
@@ -18,7 +18,7 @@ from ..operators import (
     validation,
     weekly as rollup,
 )
-from ..plans.lake import build_gold, build_lake
+from ..plans.lake import build_lake
 from ..plans.scoring import score_upload
 from ..plans.training import train_and_compare
 from ..session import shared_folder
@@ -34,7 +34,7 @@ from ..sources.star import (
     holiday_rows,
     sales_daily,
 )
-from ..sources.writers import sorted_for_export
+from ..sources.writers import sorted_for_export, write_by_store
 
 
 # Shared inputs ---------------------------------------------------------------
@@ -60,12 +60,16 @@ def gold_scalars(spark, d):
     return features.feature_rows(weekly(spark, d), BASE_YEAR)
 
 
-def gold(spark, d):
-    return build_gold(weekly(spark, d), BASE_YEAR)
+def stored_gold(spark, d):
+    """The gold layer over features written once: encoder and models read them often."""
+    path = shared_folder(spark, "features")
+    write_by_store(gold_scalars(spark, d), path, sort=("year", *WEEK_KEY))
+    rows = read_layer(spark, path, GOLD_SCALARS)
+    return features.encode(rows, features.fit_encoder(rows))
 
 
 def split(spark, d, train_until=TRAIN_UNTIL, test_year=TEST_YEAR):
-    return selection.split_by_year(gold_scalars(spark, d), train_until, test_year)
+    return selection.split_by_year(alignment.keyed(gold_scalars(spark, d)), train_until, test_year)
 
 
 def naive_forecasts(spark, d, train_until=TRAIN_UNTIL, test_year=TEST_YEAR):
@@ -217,25 +221,34 @@ def forecast_union(spark, d):
 
 def arima_models(spark, d):
     train, _ = split(spark, d)
-    return rounded(arima.fit_arima(train), "phi", "theta", "last_residual", digits=4)
+    models = arima.fit_arima(train).select(
+        *SERIES,
+        F.get("phi", F.lit(0)).alias("phi"),
+        F.get("theta", F.lit(0)).alias("theta"),
+        "last_value",
+        F.get("values", F.lit(0)).alias("last_diff"),
+        F.get("residuals", F.lit(0)).alias("last_residual"),
+        "used_rows",
+    )
+    return rounded(models, "phi", "theta", "last_residual", digits=4)
 
 
 def distribution_drift(spark, d):
-    train, test = selection.split_by_year(weekly(spark, d), TRAIN_UNTIL, TEST_YEAR)
-    return rounded(monitoring.distribution_drift(train, test), "statistic", "p_value")
+    old, new = F.col("year") <= TRAIN_UNTIL, F.col("year") == TEST_YEAR
+    return rounded(monitoring.distribution_drift(weekly(spark, d), old, new), "statistic", "p_value")
 
 
 def one_hot_features(spark, d):
-    return gold(spark, d).select(*WEEK_KEY, "store_idx", "item_idx", "store_ohe", "item_ohe")
+    return stored_gold(spark, d).select(*WEEK_KEY, "store_idx", "item_idx", "store_ohe", "item_ohe")
 
 
 def assembled_features(spark, d):
-    return regression.assembler().transform(gold(spark, d)).select(*WEEK_KEY, TARGET, "features")
+    return regression.assembler().transform(stored_gold(spark, d)).select(*WEEK_KEY, TARGET, "features")
 
 
 def regressor(name, **settings):
     def run(spark, d):
-        train, test = selection.split_by_year(gold(spark, d), TRAIN_UNTIL, TEST_YEAR)
+        train, test = selection.split_by_year(stored_gold(spark, d), TRAIN_UNTIL, TEST_YEAR)
         model = regression.Regressor(name, **settings).fit(train)
         return model.predict(test).select(*WEEK_KEY, TARGET, F.round("prediction", 4).alias("prediction"))
 
@@ -243,7 +256,7 @@ def regressor(name, **settings):
 
 
 def feature_importances(spark, d):
-    rows = gold(spark, d)
+    rows = stored_gold(spark, d)
     train, _ = selection.split_by_year(rows, TRAIN_UNTIL, TEST_YEAR)
     model = regression.Regressor("RandomForest", numTrees=20).fit(train)
     return model.importances(rows, n=10)
@@ -251,7 +264,7 @@ def feature_importances(spark, d):
 
 def model_training(spark, d):
     return train_and_compare(
-        gold(spark, d),
+        stored_gold(spark, d),
         TRAIN_UNTIL,
         TEST_YEAR,
         shared_folder(spark, "training"),
@@ -371,8 +384,8 @@ def queries():
         "one_hot_features": one_hot_features,
         "assembled_features": assembled_features,
         "linear_regression": regressor("LinearRegression"),
-        "random_forest": regressor("RandomForest", numTrees=20),
-        "gradient_boosting": regressor("GradientBoosting", maxIter=10),
+        "random_forest": regressor("RandomForest"),
+        "gradient_boosting": regressor("GradientBoosting"),
         "model_training": model_training,
         # per-series forecasting
         "arima_models": arima_models,
@@ -385,8 +398,8 @@ def queries():
         # evaluation and monitoring
         "forecast_metrics": metric_rows,
         "metrics_without_missing": metrics_without_missing,
-        "ground_truth_rmse": lambda s, d: rounded(
-            monitoring.ground_truth_rmse(predictions(s, d), weekly(s, d)), "rmse", digits=4
+        "ground_truth_errors": lambda s, d: rounded(
+            monitoring.ground_truth_errors(predictions(s, d), weekly(s, d)), "rmse", "mae", digits=4
         ),
         "performance_drift": performance_drift,
         "missing_data_alert": lambda s, d: rounded(
