@@ -1,4 +1,4 @@
-from .readers import daily_upload, holiday_dates, read_holidays, read_layer, read_raw_sales
+from .readers import daily_upload, holiday_dates, read_holidays, read_layer, read_metrics, read_raw_sales
 from .writers import (
     append_check_log,
     export_csv,
@@ -14,6 +14,7 @@ __all__ = [
     "holiday_dates",
     "read_holidays",
     "read_layer",
+    "read_metrics",
     "read_raw_sales",
     "write_by_store",
     "write_metrics",

@@ -36,6 +36,12 @@ def read_layer(spark, path, columns=None):
     return layer.select(*columns) if columns else layer
 
 
+def read_metrics(spark, path):
+    """Stored metric rows, as ``write_metrics`` leaves them in CSV."""
+    schema = "model string, rmse double, mae double, mape double, r2 double, n_rows bigint"
+    return spark.read.csv(path, schema=schema, header=True)
+
+
 def daily_upload(rows):
     """Rows uploaded for scoring: day-first text dates, sales optional."""
     if dict(rows.dtypes)["date"] == "string":

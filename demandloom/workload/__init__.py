@@ -1,4 +1 @@
-from .oracles import oracle_sql
-from .queries import queries
-
-__all__ = ["oracle_sql", "queries"]
+"""The operators as queries over the star-schema tables, with SQL twins."""

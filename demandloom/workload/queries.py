@@ -19,6 +19,7 @@ from ..operators import (
     weekly as rollup,
 )
 from ..plans.lake import build_lake
+from ..plans.monitoring import check_forecaster
 from ..plans.scoring import score_upload
 from ..plans.training import train_and_compare
 from ..session import shared_folder
@@ -238,6 +239,14 @@ def distribution_drift(spark, d):
     return rounded(monitoring.distribution_drift(weekly(spark, d), old, new), "statistic", "p_value")
 
 
+def monitor_check(spark, d):
+    stored = metric_rows(spark, d, TRAIN_UNTIL - 1, TEST_YEAR - 1)
+    check = check_forecaster(
+        "LastValue", predictions(spark, d), weekly(spark, d), stored, dirty_sales(spark, d)
+    )
+    return rounded(check, "rmse", "mae", "degradation", digits=4)
+
+
 def one_hot_features(spark, d):
     return stored_gold(spark, d).select(*WEEK_KEY, "store_idx", "item_idx", "store_ohe", "item_ohe")
 
@@ -406,6 +415,7 @@ def queries():
             monitoring.missing_data_alert(dirty_sales(s, d)), "null_share"
         ),
         "distribution_drift": distribution_drift,
+        "monitor_check": monitor_check,
         # exploration
         "weekly_summary": lambda s, d: exploration.weekly_summary(weekly(s, d)),
         "sales_histogram": lambda s, d: rounded(
