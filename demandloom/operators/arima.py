@@ -44,7 +44,7 @@ def _solve(df, k, name):
             reduced[f"r_{j}"] = col(f"r_{j}") - factor * col(f"r_{i}")
             for m in range(j, k):
                 reduced[_cross(j, m)] = col(_cross(j, m)) - factor * col(_cross(i, m))
-        df = df.withColumns(reduced)
+        df = df.withColumns(reduced) if reduced else df
     for i in reversed(range(k)):
         known = sum((col(_cross(i, j)) * col(f"{name}_{j}") for j in range(i + 1, k)), F.lit(0.0))
         df = df.withColumn(f"{name}_{i}", (col(f"r_{i}") - known) / col(f"pivot_{i}"))

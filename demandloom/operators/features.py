@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..columns import GOLD_COLUMNS, GOLD_SCALARS, HISTORY_COLUMNS, LAGS, SERIES, TARGET, TRAILING
 from ..functions import absolute_week, approximate_week_start
 
+HEAD_LENGTH = 3
+
 
 def calendar_features(weekly, base_year):
     year, week = F.col("year"), F.col("week_of_year")
@@ -77,29 +79,27 @@ def encode(features, encoder):
 
 
 def category_index(df, column):
-    """Index of each category by descending frequency, ties in text order."""
-    counts = df.groupBy(F.col(column).cast("string").alias("category")).agg(
-        F.count(F.lit(1)).alias("rows")
+    """Index of each category by descending frequency, ties in text order.
+
+    Categories of one frequency are split by their first characters, so a catalogue
+    whose items all have the same count is still ranked in many tasks. What reaches
+    the single ordering of all groups is one row per frequency and text head.
+    """
+    counts = (
+        df.groupBy(F.col(column).cast("string").alias("category"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("head", F.substring("category", 1, HEAD_LENGTH))
     )
-    tied = Window.partitionBy("rows").orderBy("category")
-    # Distinct counts number at most the square root of twice the row count.
-    more_frequent = (
-        counts.groupBy("rows")
+    earlier = Window.orderBy(F.desc("rows"), "head").rowsBetween(Window.unboundedPreceding, -1)
+    groups = (
+        counts.groupBy("rows", "head")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "rows",
-            F.coalesce(
-                F.sum("n").over(
-                    Window.orderBy(F.desc("rows")).rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias("ahead"),
-        )
+        .select("rows", "head", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))
     )
+    inside = Window.partitionBy("rows", "head").orderBy("category")
+    index = F.col("ahead") + F.col("place") - 1
     return (
-        counts.withColumn("place", F.row_number().over(tied))
-        .join(more_frequent, "rows")
-        .select(
-            "category", "rows", (F.col("ahead") + F.col("place") - 1).cast("double").alias("index")
-        )
+        counts.withColumn("place", F.row_number().over(inside))
+        .join(groups, ["rows", "head"])
+        .select("category", "rows", index.cast("double").alias("index"))
     )

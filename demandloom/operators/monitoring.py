@@ -31,15 +31,21 @@ def with_baseline(current, stored):
     return current.join(stored.select("model", F.col("rmse").alias("baseline_rmse")), "model", "left")
 
 
-def performance_drift(current, stored, limit=DRIFT_LIMIT):
-    """Whether rmse grew by more than ``limit`` over the baseline."""
+def judge_drift(rows, limit=DRIFT_LIMIT):
+    """Relative growth of rmse over baseline_rmse and whether it exceeds ``limit``;
+    without a baseline there is no drift."""
     base = F.col("baseline_rmse")
     change = F.try_divide(F.col("rmse") - base, base)
-    return with_baseline(current, stored).withColumns(
+    return rows.withColumns(
         {"degradation": change, "drift_detected": F.coalesce(change > limit, F.lit(False))}
     )
 
 
+def performance_drift(current, stored, limit=DRIFT_LIMIT):
+    """Drift of every model in ``current`` against the stored metrics."""
+    return judge_drift(with_baseline(current, stored), limit)
+
+
 def missing_data_alert(df, limit=NULL_LIMIT):
     """Null share of each column and whether it exceeds ``limit``."""
     shares = [

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators.monitoring import ground_truth_errors, missing_data_alert, performance_drift
+from ..operators.monitoring import ground_truth_errors, judge_drift, missing_data_alert
 from ..sources.writers import append_check_log
 
 
@@ -10,9 +10,12 @@ def check_forecaster(model, predictions, weekly, stored_metrics, upload, log_pat
     """One row with the current errors of ``model``, its drift against the stored
     metrics and whether the uploaded rows miss too much. Without matching actuals the
     errors are null, no drift is reported and nothing is logged."""
-    current = ground_truth_errors(predictions, weekly).withColumn("model", F.lit(model))
-    missing = missing_data_alert(upload).agg(F.max("alert").alias("missing")).scalar()
-    check = performance_drift(current, stored_metrics).withColumn("missing_data", missing)
+    baseline = stored_metrics.where(F.col("model") == model).agg(F.first("rmse")).scalar()
+    missing = missing_data_alert(upload).agg(F.max("alert")).scalar()
+    current = ground_truth_errors(predictions, weekly).withColumns(
+        {"model": F.lit(model), "baseline_rmse": baseline}
+    )
+    check = judge_drift(current).withColumn("missing_data", missing)
     if log_path:
         append_check_log(check.where(F.col("matched_rows") > 0), log_path)
     return check

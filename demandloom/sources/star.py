@@ -95,23 +95,20 @@ def dirty_sales(spark, sf_dir):
 
 def holiday_rows(spark, sf_dir):
     """(Date, Holiday) text rows, one per order placed on a holiday and name of it."""
-    day = F.col("o_orderdate").cast("date")
-    fixed = [
-        F.when((F.month("d") == m) & (F.day("d") == n), F.lit(name)) for m, n, name in FIXED_HOLIDAYS
-    ]
+
+    def named(condition, name):
+        return f"if({condition}, '{name.replace(chr(39), chr(92) + chr(39))}', null)"
+
+    fixed = [named(f"month(d) = {m} and day(d) = {n}", name) for m, n, name in FIXED_HOLIDAYS]
     moving = [
-        F.when(
-            (F.month("d") == m) & F.day("d").between(first, last) & (F.weekday("d") == wd), F.lit(name)
-        )
+        named(f"month(d) = {m} and day(d) between {first} and {last} and weekday(d) = {wd}", name)
         for m, first, last, wd, name in WEEKDAY_HOLIDAYS
     ]
+    names = f"array_compact(array({', '.join(fixed + moving)}))"
     return (
         table(spark, sf_dir, "orders")
-        .select(day.alias("d"))
+        .select(F.col("o_orderdate").cast("date").alias("d"))
         .select(
-            F.date_format("d", "yyyy-MM-dd").alias("Date"),
-            F.explode(F.array_compact(F.array(*fixed, *moving))).alias("Holiday"),
+            F.date_format("d", "yyyy-MM-dd").alias("Date"), F.explode(F.expr(names)).alias("Holiday")
         )
     )
-
-

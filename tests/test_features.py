@@ -47,6 +47,12 @@ def test_category_index_orders_by_frequency_then_text(spark):
     ]
 
 
+def test_category_index_with_one_shared_frequency(spark):
+    items = spark.range(3000).select(F.col("id").cast("int").alias("item"))
+    got = {r.category: r["index"] for r in features.category_index(items, "item").collect()}
+    assert got == {c: float(i) for i, c in enumerate(sorted(map(str, range(3000))))}
+
+
 def many_series(spark, stores=10, items=50):
     weeks = spark.range(54).select((F.col("id") % 52 + 1).cast("int").alias("week_of_year"), (2013 + F.floor(F.col("id") / 52)).cast("int").alias("year"))
     keys = spark.range(stores * items).select(
