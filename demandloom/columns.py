@@ -15,6 +15,15 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
+# The daily retail data set that the default arguments describe.
+EXPECTED_ROWS = 913_000
+STORES = (1, 10)
+ITEMS = (1, 50)
+DATES = ("2013-01-01", "2017-12-31")
+BASE_YEAR = 2013
+TRAIN_UNTIL = 2016
+TEST_YEAR = 2017
+
 # The history features and their names.
 LAGS = (1, 4, 52)
 TRAILING = (4, 12)

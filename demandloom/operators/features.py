@@ -5,13 +5,22 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..columns import GOLD_COLUMNS, GOLD_SCALARS, HISTORY_COLUMNS, LAGS, SERIES, TARGET, TRAILING
+from ..columns import (
+    BASE_YEAR,
+    GOLD_COLUMNS,
+    GOLD_SCALARS,
+    HISTORY_COLUMNS,
+    LAGS,
+    SERIES,
+    TARGET,
+    TRAILING,
+)
 from ..functions import absolute_week, approximate_week_start
 
 HEAD_LENGTH = 3
 
 
-def calendar_features(weekly, base_year):
+def calendar_features(weekly, base_year=BASE_YEAR):
     year, week = F.col("year"), F.col("week_of_year")
     start = approximate_week_start(year, week)
     return weekly.withColumns(
@@ -53,7 +62,7 @@ def warmup_report(features):
     )
 
 
-def feature_rows(weekly, base_year):
+def feature_rows(weekly, base_year=BASE_YEAR):
     """The scalar part of the gold layer."""
     with_history = history_features(calendar_features(weekly, base_year))
     return drop_warmup(with_history).select(*GOLD_SCALARS)

@@ -20,8 +20,10 @@ from .alignment import keyed
 YEAR_DAYS = 365.25
 FOURIER_ORDER = 10
 ORIGIN = datetime.date(2000, 1, 1)
-PENALTY = 0.1
+PENALTY = 1e-3
 TREND_SHARE = 0.8
+N_BENDS = 25
+BEND_SCALE = 0.05
 
 MODEL_SCHEMA = T.StructType(
     [
@@ -47,16 +49,36 @@ def design(t, bends):
     return np.hstack([np.ones((len(t), 1)), t[:, None], np.sin(angles), np.cos(angles), hinges])
 
 
-def ridge_fit(points, n_bends=0, penalty=PENALTY):
-    """Coefficients and trend bends from columns t, rows and total (of y per t)."""
+def bend_places(t, n_bends):
+    """Up to ``n_bends`` observed times spread over the first part of the history."""
+    early = np.sort(t)[: int(TREND_SHARE * len(t))]
+    n = min(n_bends, len(early) - 1)
+    if n < 1:
+        return np.array([])
+    return early[np.linspace(0, len(early) - 1, n + 1).round().astype(int)][1:]
+
+
+def ridge_fit(points, n_bends=N_BENDS, bend_scale=BEND_SCALE, penalty=PENALTY):
+    """Coefficients and trend bends from columns t, rows and total (of y per t).
+
+    Bends are shrunk as under a normal prior of ``bend_scale``, relative to the
+    largest value and the length of the history, with the noise variance taken from
+    the fit before.
+    """
     t, weight, total = (points[c].to_numpy(dtype=float) for c in ("t", "rows", "total"))
-    cut = np.linspace(t.min(), t.min() + TREND_SHARE * (t.max() - t.min()), n_bends + 1)
-    bends = cut[1:]
+    y = total / weight
+    span, largest = t.max() - t.min(), np.abs(y).max() or 1.0
+    bends = bend_places(t, n_bends)
     x = design(t, bends)
+    first_bend = x.shape[1] - len(bends)
     ridge = np.full(x.shape[1], penalty)
     ridge[:2] = 1e-6
-    lhs = (x * weight[:, None]).T @ x + np.diag(ridge)
-    return np.linalg.solve(lhs, x.T @ total), bends
+    noise = bend_scale
+    for _ in range(3 if len(bends) else 1):
+        ridge[first_bend:] = max((noise / bend_scale * span) ** 2, 1e-6)
+        coefficients = np.linalg.solve((x * weight[:, None]).T @ x + np.diag(ridge), x.T @ total)
+        noise = np.sqrt((weight * (y - x @ coefficients) ** 2).sum() / weight.sum()) / largest
+    return coefficients, bends
 
 
 def fit_seasonal(train, fit=ridge_fit):

@@ -2,14 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from ..columns import SERIES
+from ..columns import SERIES, TEST_YEAR, TRAIN_UNTIL
 
 
-def split_by_year(df, train_until, test_year):
+def split_by_year(df, train_until=TRAIN_UNTIL, test_year=TEST_YEAR):
     return df.where(F.col("year") <= train_until), df.where(F.col("year") == test_year)
 
 
-def split_report(df, train_until, test_year):
+def split_report(df, train_until=TRAIN_UNTIL, test_year=TEST_YEAR):
     counts = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.col("year") <= train_until).alias("train_rows"),

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from ..columns import DATES, EXPECTED_ROWS, ITEMS, STORES
+
 
 def _violations(condition):
     # A plain sum stays null on empty input, which the verdict counts as failing.
@@ -31,11 +33,13 @@ def null_profile(df):
     return df.agg(*_null_counts(df.columns))
 
 
-def range_violations(df, stores, items, dates):
+def range_violations(df, stores=STORES, items=ITEMS, dates=DATES):
     return df.agg(*_range_counts(stores, items, dates))
 
 
-def validation_report(df, expected_rows, stores, items, dates, tolerance=0.05):
+def validation_report(
+    df, expected_rows=EXPECTED_ROWS, stores=STORES, items=ITEMS, dates=DATES, tolerance=0.05
+):
     """Row count, null and range counts and the verdict on them, as one row.
 
     ``expected_rows`` is a number or a scalar Column. The row count must lie strictly

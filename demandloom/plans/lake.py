@@ -1,6 +1,6 @@
 """Bronze, silver and gold layers as parquet."""
 
-from ..columns import DAILY_COLUMNS, WEEK_KEY, WEEKLY_COLUMNS
+from ..columns import BASE_YEAR, DAILY_COLUMNS, WEEK_KEY, WEEKLY_COLUMNS
 from ..operators.cleaning import clean_daily
 from ..operators.features import encode, feature_rows, fit_encoder
 from ..operators.weekly import to_weekly
@@ -19,14 +19,14 @@ def layer_paths(root):
     }
 
 
-def build_gold(weekly, base_year, encoder_rows=None):
+def build_gold(weekly, base_year=BASE_YEAR, encoder_rows=None):
     """Gold features. The encoder learns its categories from all gold rows unless
     other rows, such as the training years only, are given."""
     features = feature_rows(weekly, base_year)
     return encode(features, fit_encoder(features if encoder_rows is None else encoder_rows))
 
 
-def build_lake(spark, root, holidays, base_year, raw=None, start="bronze"):
+def build_lake(spark, root, holidays, base_year=BASE_YEAR, raw=None, start="bronze"):
     """Build the layers from ``start`` on, each from the layer stored before it.
 
     Returns the row count read back from every layer built. ``raw`` is needed only

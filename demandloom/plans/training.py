@@ -2,6 +2,7 @@
 
 from pyspark import StorageLevel
 
+from ..columns import TEST_YEAR, TRAIN_UNTIL
 from ..operators.arima import arima_forecast, fit_arima
 from ..operators.evaluation import compare_models, forecast_metrics, union_all
 from ..operators.regression import ESTIMATORS, Regressor
@@ -10,7 +11,7 @@ from ..operators.selection import split_by_year
 from ..sources.writers import write_metrics, write_plain
 
 
-def train_and_compare(gold, train_until, test_year, root, settings=None):
+def train_and_compare(gold, root, train_until=TRAIN_UNTIL, test_year=TEST_YEAR, settings=None):
     """Fit all five forecasters, save them and their metrics below ``root`` and
     return the stored metric table, lowest rmse first.
 

@@ -142,6 +142,15 @@ def test_seasonal_trend_bends(spark):
         return max(abs(r.prediction - r.weekly_sales) for r in got)
 
     assert error(8) < error(0) / 2
+    assert error(25) < error(0) / 2
+
+
+def test_seasonal_bends_stay_straight_on_a_straight_trend(spark):
+    rng = np.random.default_rng(9)
+    points = [(iso, v + rng.normal(0, 10)) for iso, v in wave(260)]
+    train, test = wave_rows(spark, points[:208]), wave_rows(spark, points[208:])
+    got = seasonal.seasonal_forecast(train, test).collect()
+    assert np.sqrt(np.mean([(r.prediction - r.weekly_sales) ** 2 for r in got])) < 20_000
 
 
 def test_seasonal_short_and_failing_series_keep_the_last_value(spark):

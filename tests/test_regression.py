@@ -43,7 +43,7 @@ def test_importances_are_named_and_sorted(gold):
 
 def test_training_stores_models_and_metrics(spark, gold, tmp_path):
     small = {"RandomForest": {"numTrees": 3, "maxDepth": 3}, "GradientBoosting": {"maxIter": 2, "maxDepth": 2}}
-    table = train_and_compare(gold, 2014, 2015, str(tmp_path), settings=small).collect()
+    table = train_and_compare(gold, str(tmp_path), 2014, 2015, settings=small).collect()
     assert {r.model for r in table} == {"LinearRegression", "RandomForest", "GradientBoosting", "ARIMA", "Seasonal"}
     assert [r.rmse for r in table] == sorted(r.rmse for r in table)
     assert read_metrics(spark, str(tmp_path / "metrics_csv")).count() == 5
