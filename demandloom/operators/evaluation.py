@@ -10,42 +10,58 @@ from ..columns import TARGET
 EPSILON = 1e-6
 
 
-def forecast_metrics(
-    forecasts, label=TARGET, prediction="prediction", model="model", drop_missing=False, by=(), digits=4
-):
-    """rmse, mae, mape, r2 and row count in one aggregation.
-
-    A missing value makes the errors NaN unless ``drop_missing`` leaves its row out.
-    R² is NaN where the actual values do not vary.
-    """
+def _pair(label, prediction):
+    """Actual and predicted value as doubles, a missing one as NaN."""
     nan = F.lit(float("nan"))
-    pairs = forecasts.select(
-        *by,
+    return (
         F.coalesce(F.col(label).cast("double"), nan).alias("_y"),
         F.coalesce(F.col(prediction).cast("double"), nan).alias("_p"),
     )
-    if drop_missing:
-        pairs = pairs.where(~F.isnan("_y") & ~F.isnan("_p"))
+
+
+def _errors(grouped, digits):
+    """rmse, mae, mape, r2 and row count of grouped pairs, in one aggregation."""
     y, error = F.col("_y"), F.col("_y") - F.col("_p")
-    sums = pairs.groupBy(*by).agg(
-        F.avg(error * error).alias("_mse"),
-        F.avg(F.abs(error)).alias("_mae"),
-        F.avg(F.abs(error) / F.greatest(F.abs(y), F.lit(EPSILON))).alias("_ape"),
-        F.var_pop(y).alias("_var"),
-        F.count(F.lit(1)).alias("n_rows"),
-    )
-    r2 = F.when(F.col("_var") > 0, 1 - F.col("_mse") / F.col("_var")).otherwise(nan)
-    return sums.select(
-        *by,
-        F.lit(model).alias("model"),
-        F.round(F.sqrt("_mse"), digits).alias("rmse"),
-        F.round("_mae", digits).alias("mae"),
-        F.round(F.col("_ape") * 100, digits).alias("mape"),
+    mse, spread = F.avg(error * error), F.var_pop(y)
+    r2 = F.when(spread > 0, 1 - mse / spread).otherwise(F.lit(float("nan")))
+    return grouped.agg(
+        F.round(F.sqrt(mse), digits).alias("rmse"),
+        F.round(F.avg(F.abs(error)), digits).alias("mae"),
+        F.round(F.avg(F.abs(error) / F.greatest(F.abs(y), F.lit(EPSILON))) * 100, digits).alias("mape"),
         F.round(r2, digits).alias("r2"),
-        "n_rows",
+        F.count(F.lit(1)).alias("n_rows"),
     )
 
 
+def _complete():
+    return ~F.isnan("_y") & ~F.isnan("_p")
+
+
+def forecast_metrics(
+    forecasts, label=TARGET, prediction="prediction", model="model", drop_missing=False, digits=4
+):
+    """Metric row of one forecast table.
+
+    A missing value makes the errors NaN unless ``drop_missing`` leaves its row out.
+    R² is NaN where the actual values do not vary.
+    """
+    pairs = forecasts.select(*_pair(label, prediction))
+    if drop_missing:
+        pairs = pairs.where(_complete())
+    return _errors(pairs.groupBy(), digits).select(F.lit(model).alias("model"), "*")
+
+
+def metrics_by_model(forecasts, drop_missing=(), label=TARGET, prediction="prediction", digits=4):
+    """Metric rows of several forecast tables, given by model name, in one
+    aggregation. Models in ``drop_missing`` leave incomplete rows out."""
+    pairs = [
+        rows.select(F.lit(name).alias("model"), *_pair(label, prediction), F.lit(name in drop_missing).alias("_drop"))
+        for name, rows in forecasts.items()
+    ]
+    kept = union_all(pairs).where(~F.col("_drop") | _complete())
+    return _errors(kept.groupBy("model"), digits)
+
+
 def union_all(frames):
     return reduce(lambda a, b: a.unionByName(b), frames)
 

@@ -4,7 +4,7 @@ from pyspark import StorageLevel
 
 from ..columns import TEST_YEAR, TRAIN_UNTIL
 from ..operators.arima import arima_forecast, fit_arima
-from ..operators.evaluation import compare_models, forecast_metrics, union_all
+from ..operators.evaluation import compare_models, metrics_by_model
 from ..operators.regression import ESTIMATORS, Regressor
 from ..operators.seasonal import fit_seasonal, seasonal_forecast
 from ..operators.selection import split_by_year
@@ -22,16 +22,17 @@ def train_and_compare(gold, root, train_until=TRAIN_UNTIL, test_year=TEST_YEAR,
         part.persist(StorageLevel.MEMORY_AND_DISK) for part in split_by_year(gold, train_until, test_year)
     )
     try:
-        rows = []
+        forecasts = {}
         for name in ESTIMATORS:
             model = Regressor(name, **settings.get(name, {})).fit(train)
             model.save(f"{root}/models/{name}")
-            rows.append(forecast_metrics(model.predict(test), model=name))
+            forecasts[name] = model.predict(test)
         write_plain(fit_arima(train), f"{root}/models/ARIMA")
         write_plain(fit_seasonal(train), f"{root}/models/Seasonal")
-        rows.append(forecast_metrics(arima_forecast(train, test), model="ARIMA", drop_missing=True))
-        rows.append(forecast_metrics(seasonal_forecast(train, test), model="Seasonal", drop_missing=True))
-        write_metrics(union_all(rows), f"{root}/metrics_csv", f"{root}/metrics")
+        forecasts["ARIMA"] = arima_forecast(train, test)
+        forecasts["Seasonal"] = seasonal_forecast(train, test)
+        metrics = metrics_by_model(forecasts, drop_missing=("ARIMA", "Seasonal"))
+        write_metrics(metrics, f"{root}/metrics_csv", f"{root}/metrics")
     finally:
         train.unpersist()
         test.unpersist()

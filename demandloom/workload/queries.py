@@ -93,12 +93,7 @@ def metric_rows(spark, d, train_until=TRAIN_UNTIL, test_year=TEST_YEAR):
         "TrailingMonth": test.withColumn("prediction", F.col("rolling_4_week_avg")),
         "TrailingQuarter": test.withColumn("prediction", F.col("rolling_12_week_avg")),
     }
-    return evaluation.union_all(
-        [
-            evaluation.forecast_metrics(rows, model=name, drop_missing=name in ("LastValue", "ARIMA"))
-            for name, rows in candidates.items()
-        ]
-    )
+    return evaluation.metrics_by_model(candidates, drop_missing=("LastValue", "ARIMA"))
 
 
 def rounded(df, *columns, digits=6):

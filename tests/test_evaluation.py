@@ -46,6 +46,14 @@ def test_missing_predictions(spark, missing):
     assert (left_out.rmse, left_out.n_rows) == (1.0, 1)
 
 
+def test_several_models_at_once(spark):
+    rows = [(1.0, 2.0), (3.0, None), (5.0, 5.0)]
+    df = spark.createDataFrame(rows, DDL)
+    got = {r.model: r for r in evaluation.metrics_by_model({"a": df, "b": df}, drop_missing=("a",)).collect()}
+    alone = evaluation.forecast_metrics(df, model="a", drop_missing=True).first()
+    assert got["a"] == alone and math.isnan(got["b"].rmse) and got["b"].n_rows == 3
+
+
 def table(spark, rows):
     return spark.createDataFrame(rows, "model string, rmse double, mae double, mape double, r2 double, n_rows bigint")
 
