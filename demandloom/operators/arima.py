@@ -143,9 +143,26 @@ def fit_arima(train, order=ORDER, min_rows=MIN_ROWS):
     )
 
 
-def arima_value(h, d=1):
-    """Forecast ``h`` steps past the last value, by the recursion over the steps."""
+def arima_value(h, order=ORDER):
+    """Forecast ``h`` steps past the last value, or the last value without a fit.
 
+    Orders up to (1, 1, 1) have a closed form, the sum of a geometric series of
+    changes; others recurse over the steps.
+    """
+    p, d, q = order
+    closed = p <= 1 and d == 1 and q <= 1
+    value = _closed_form(h, p, q) if closed else _recursion(h, d)
+    return F.when(F.col("phi").isNull(), F.col("last_value")).otherwise(value)
+
+
+def _closed_form(h, p, q):
+    phi = F.get("phi", F.lit(0)) if p else F.lit(0.0)
+    theta = F.get("theta", F.lit(0)) if q else F.lit(0.0)
+    first = phi * F.get("values", F.lit(0)) + theta * F.get("residuals", F.lit(0))
+    return F.col("last_value") + first * (1 - F.pow(phi, h)) / (1 - phi)
+
+
+def _recursion(h, d):
     def dot(coefficients, history):
         terms = F.zip_with(coefficients, history, lambda c, x: F.coalesce(c * x, F.lit(0.0)))
         return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
@@ -167,10 +184,9 @@ def arima_value(h, d=1):
 
     start = state(F.col("values"), F.col("residuals"), F.col("levels"))
     steps = F.sequence(F.lit(1), h)
-    value = F.aggregate(steps, start, step, lambda s: s["levels"][0])
-    return F.when(F.col("phi").isNull(), F.col("last_value")).otherwise(value)
+    return F.aggregate(steps, start, step, lambda s: s["levels"][0])
 
 
 def arima_forecast(train, test, order=ORDER, horizon=None, min_rows=MIN_ROWS):
     models = fit_arima(train, order, min_rows)
-    return align_forecast(test, models, arima_value(F.col("h"), order[1]), horizon)
+    return align_forecast(test, models, arima_value(F.col("h"), order), horizon)

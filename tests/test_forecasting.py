@@ -67,6 +67,15 @@ def test_arima_matches_numpy(spark, order):
     assert [r.prediction for r in got] == pytest.approx(expected, rel=1e-6)
 
 
+def test_closed_form_equals_the_recursion(spark):
+    train = series(spark, arma_values(-0.4, 0.5, 200))
+    steps = arima.fit_arima(train).crossJoin(spark.range(1, 30).select(F.col("id").cast("int").alias("h")))
+    got = steps.select(
+        arima.arima_value(F.col("h")).alias("a"), arima._recursion(F.col("h"), 1).alias("b")
+    ).collect()
+    assert [r.a for r in got] == pytest.approx([r.b for r in got], rel=1e-9)
+
+
 def test_arima_recovers_simulated_coefficients(spark):
     model = arima.fit_arima(series(spark, arma_values(0.6, 0.3, 4000), start=(1900, 1))).first()
     assert model.phi[0] == pytest.approx(0.6, abs=0.06) and model.theta[0] == pytest.approx(0.3, abs=0.08)
