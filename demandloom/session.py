@@ -27,10 +27,17 @@ def local_session(app="demandloom", cpus=None, memory="8g"):
 
 
 def shared_folder(spark, purpose):
-    """A fresh folder below ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir``, storage that every executor reaches.
 
-    That setting names storage every executor can reach. Only where it is unset,
-    as in local tests, does a temporary folder of this machine stand in.
+    Only a local session, where driver and executors are one process, may do without
+    that setting; its folders then lie in this machine's temporary folder. Nothing here
+    deletes a folder, because lazy results still read it: whoever owns the checkpoint
+    folder clears it when the application has ended.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="demandloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master.startswith("local") and not master.startswith("local-cluster")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+        base = tempfile.mkdtemp(prefix="demandloom-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
