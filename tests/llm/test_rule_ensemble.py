@@ -1,0 +1,62 @@
+import random
+
+import pytest
+
+from demandloom.llm import rule_ensemble as r
+from demandloom.llm.rows import fold
+
+
+def test_tree_paths():
+    text = """Model: trees
+  Tree 0 (weight 1.0):
+    If (feature 0 <= 1.5)
+     If (feature 1 <= 0.25)
+      Predict: 0.0
+     Else (feature 1 > 0.25)
+      Predict: 1.0
+    Else (feature 0 > 1.5)
+     Predict: 1.0
+  Tree 1 (weight 0.1):
+    Predict: 1.0
+"""
+    a, b, c, d = ("x", "<=", 1.5), ("y", "<=", 0.25), ("y", ">", 0.25), ("x", ">", 1.5)
+    assert [rule.limits for rule in r.tree_rules(text, ["x", "y"])] == [(a,), (a, b), (a, c), (d,)]
+
+
+def labelled(spark, n=400):
+    rng = random.Random(10)
+    good = [" ".join(rng.choice("the of river stone walks over light".split()) for _ in range(rng.randint(20, 90))) for _ in range(n)]
+    bad = ["### ".join(rng.choice("ab cd ef".split()) for _ in range(rng.randint(20, 90))) for _ in range(n // 4)]
+    docs = [(i, t) for i, t in enumerate(good + bad)]
+    labels = [(i, int(i < n)) for i, _ in docs] + [(None, 1), (5000, 0), (3, None)]
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+
+
+def test_learns_and_compiles(spark, odd_docs, no_docs):
+    docs, labels = labelled(spark)
+    model = r.fit(r.labelled_statistics(docs, labels))
+    assert model.rules and len(model.rules) < 60
+    rows = {x["doc_id"]: x for x in r.score_quality(docs, model).collect()}
+    assert sum((x["score"] >= 0.5) == (i < 400) for i, x in rows.items()) >= 0.97 * len(rows)
+    assert all(x["predicted"] == int(x["score"] >= 0.3) for x in rows.values())
+    odd = r.score_quality(odd_docs, model)
+    assert odd.count() == odd_docs.count() and odd.where("score is null or score < 0 or score > 1 or isnan(score)").count() == 0
+    assert r.score_quality(no_docs, model).count() == 0
+    plan = odd._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_single_class_and_bound(spark):
+    docs, labels = labelled(spark, 40)
+    assert r.fit(r.labelled_statistics(docs, labels.where("quality = 1"))).intercept > 0
+    assert r.fit(r.labelled_statistics(docs, labels.where("false"))).intercept == 0
+    few = r.labelled_statistics(docs, labels, most=10).count()
+    assert 0 < few < 30
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01"])
+def test_held_out_accuracy(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = r.fit(r.labelled_statistics(docs, labels.where(fold("doc_id", 5) != 0)))
+    held = labels.where(fold("doc_id", 5) == 0).join(r.score_quality(docs, model), "doc_id")
+    assert held.where("predicted = quality").count() >= 0.93 * held.count()
