@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Names and order of the columns of each layer.
 SERIES = ("store", "item")
 WEEK_KEY = ("store", "item", "year", "week_of_year")
 TARGET = "weekly_sales"
@@ -69,5 +70,6 @@ GOLD_SCALARS = (
 )
 GOLD_COLUMNS = GOLD_SCALARS + ("store_idx", "item_idx", "store_ohe", "item_ohe")
 
+# The daily and weekly layers, in column order.
 DAILY_COLUMNS = ("date", "store", "item", "sales", "is_holiday")
 WEEKLY_COLUMNS = WEEK_KEY + ("weekly_sales", "week_has_holiday")

@@ -1,11 +1,12 @@
 from .calendar import absolute_week, approximate_week_start, iso_monday, season_month
-from .ordered import exact_percentiles, running_shares
+from .ordered import exact_percentiles, places, running_shares
 
 __all__ = [
     "absolute_week",
     "approximate_week_start",
     "exact_percentiles",
     "iso_monday",
+    "places",
     "running_shares",
     "season_month",
 ]

@@ -1,43 +1,71 @@
-"""Order statistics of integer columns that never sort a whole column in one task.
+"""Order statistics of a column that never sort it in one task.
 
-Both functions first count equal values, which collapses any hot value on the map
-side. Values are then cut into buckets of 2**BUCKET_BITS neighbours: running counts
-over buckets and running counts inside each bucket are two windows, the first over
-(max - min) / 2**BUCKET_BITS rows and the second over at most 2**BUCKET_BITS rows.
+Equal values are counted first, which collapses any hot value on the map side. The
+counted rows are range-partitioned and stored with the number of their partition; the
+bounds of the ranges are sampled, so they are never worked out twice. What stands before
+a row is then the sum over earlier partitions, one row each, plus a running sum inside
+its own partition. Any type with an order will do: whole numbers, doubles, text, dates.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-BUCKET_BITS = 20
+from ..session import shared_folder
+
+
+def stored_in_order(df, *order):
+    """``df`` as a shared table of ranges in ``order``, with their number as ``_part``."""
+    spark = df.sparkSession
+    path = shared_folder(spark, "ordered")
+    placed = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
 
 
 def _before(count, window):
     return F.coalesce(F.sum(count).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def exact_percentiles(df, value, percentiles, by=()):
-    """Linearly interpolated percentiles of an integer column.
+def range_starts(stored, weights, by=()):
+    """Per group and range: ``_start_<w>`` before the range and ``_total_<w>`` of the group.
 
-    ``percentiles`` maps output names to probabilities. One row per group in ``by``;
-    the groups must be few (they are broadcast together with the wanted ranks).
+    The windows see one row per range, however many rows the ranges hold.
     """
-    by = list(by)
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("long").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.shiftright("_v", BUCKET_BITS))
-    )
-
     group = Window.partitionBy(*by)
-    buckets = counted.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_size"))
-    buckets = buckets.withColumns(
-        {"_start": _before("_size", group.orderBy("_bucket")), "_total": F.sum("_size").over(group)}
+    sums = stored.groupBy(*by, "_part").agg(*[F.sum(w).alias(f"_size_{w}") for w in weights])
+    return sums.withColumns(
+        {f"_start_{w}": _before(f"_size_{w}", group.orderBy("_part")) for w in weights}
+        | {f"_total_{w}": F.sum(f"_size_{w}").over(group) for w in weights}
     )
 
+
+def with_running(stored, order, weights, by=()):
+    """Add ``_before_<w>``, the sum of ``w`` over earlier rows of the group, and ``_total_<w>``."""
+    by = list(by)
+    inside = Window.partitionBy(*by, "_part").orderBy(*order)
+    rows = stored.withColumns({f"_inside_{w}": _before(w, inside) for w in weights})
+    joined = rows.join(range_starts(stored, weights, by), [*by, "_part"])
+    return joined.withColumns({f"_before_{w}": F.col(f"_start_{w}") + F.col(f"_inside_{w}") for w in weights})
+
+
+def _counted(df, value, by, counts):
+    known = F.col(value).isNotNull()
+    if dict(df.dtypes)[value] in ("double", "float"):
+        known = known & ~F.isnan(value)
+    return df.where(known).groupBy(*by, F.col(value).alias("_v")).agg(*counts)
+
+
+def exact_percentiles(df, value, percentiles, by=()):
+    """Linearly interpolated percentiles of a numeric column; null and NaN are left out.
+
+    ``percentiles`` maps output names to probabilities. One row per group in ``by``.
+    """
+    by = list(by)
+    stored = stored_in_order(_counted(df, value, by, [F.count(F.lit(1)).alias("n")]), *by, "_v")
+    ranges = range_starts(stored, ["n"], by)
+
     def wanted(name, probability):
-        position = F.lit(float(probability)) * (F.col("_total") - 1)
+        position = F.lit(float(probability)) * (F.col("_total_n") - 1)
         low = F.floor(position)
         weight = position - low
         return [
@@ -46,24 +74,23 @@ def exact_percentiles(df, value, percentiles, by=()):
         ]
 
     targets = [t for name, p in percentiles.items() for t in wanted(name, p)]
-    # At most two rows per group and percentile, so the broadcast is bounded.
+    # The ranges that hold a wanted rank: at most two per group and percentile.
     ranks = (
-        buckets.withColumn("_t", F.explode(F.array(*targets)))
-        .where((F.col("_t.rank") >= F.col("_start")) & (F.col("_t.rank") < F.col("_start") + F.col("_size")))
+        ranges.withColumn("_t", F.explode(F.array(*targets)))
+        .where((F.col("_t.rank") >= F.col("_start_n")) & (F.col("_t.rank") < F.col("_start_n") + F.col("_size_n")))
         .select(
             *by,
-            "_bucket",
+            "_part",
             F.col("_t.name").alias("_name"),
             F.col("_t.weight").alias("_weight"),
-            (F.col("_t.rank") - F.col("_start")).alias("_offset"),
+            (F.col("_t.rank") - F.col("_start_n")).alias("_offset"),
         )
     )
-
-    inside = Window.partitionBy(*by, "_bucket").orderBy("_v")
+    inside = Window.partitionBy(*by, "_part").orderBy("_v")
     located = (
-        counted.withColumn("_below", _before("_n", inside))
-        .join(F.broadcast(ranks), on=[*by, "_bucket"])
-        .where((F.col("_offset") >= F.col("_below")) & (F.col("_offset") < F.col("_below") + F.col("_n")))
+        stored.withColumn("_below", _before("n", inside))
+        .join(ranks, on=[*by, "_part"])
+        .where((F.col("_offset") >= F.col("_below")) & (F.col("_offset") < F.col("_below") + F.col("n")))
     )
     return located.groupBy(*by).agg(
         *[
@@ -78,35 +105,23 @@ def running_shares(df, value, flags):
 
     ``flags`` maps output names to boolean conditions. Returns one row per distinct
     value with the share of each subset at or below it, and each subset's size as
-    ``<name>_rows``.
+    ``<name>_rows``. Null and NaN are left out.
     """
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("long").alias("_v"))
-        .agg(*[F.count_if(cond).alias(name) for name, cond in flags.items()])
-        .withColumn("_bucket", F.shiftright("_v", BUCKET_BITS))
+    stored = stored_in_order(
+        _counted(df, value, [], [F.count_if(cond).alias(name) for name, cond in flags.items()]), "_v"
     )
-    everything = Window.partitionBy()
-    ordered = Window.orderBy("_bucket")
-    starts = (
-        counted.groupBy("_bucket")
-        .agg(*[F.sum(name).alias(name) for name in flags])
-        .select(
-            "_bucket",
-            *[_before(name, ordered).alias(f"_{name}_start") for name in flags],
-            *[F.sum(name).over(everything).alias(f"{name}_rows") for name in flags],
-        )
-    )
-    inside = Window.partitionBy("_bucket").orderBy("_v")
-    return (
-        counted.withColumns({f"_{name}_inside": F.sum(name).over(inside) for name in flags})
-        .join(starts, "_bucket")
-        .select(
-            F.col("_v").alias(value),
-            *[f"{name}_rows" for name in flags],
-            *[
-                ((F.col(f"_{name}_start") + F.col(f"_{name}_inside")) / F.nullif(F.col(f"{name}_rows"), F.lit(0))).alias(name)
-                for name in flags
-            ],
-        )
+    running = with_running(stored, ["_v"], list(flags))
+    return running.select(
+        F.col("_v").alias(value),
+        *[F.col(f"_total_{name}").alias(f"{name}_rows") for name in flags],
+        *[
+            ((F.col(f"_before_{name}") + F.col(name)) / F.nullif(F.col(f"_total_{name}"), F.lit(0))).alias(name)
+            for name in flags
+        ],
     )
+
+
+def places(df, *order):
+    """``df`` with ``place``, its row's place from 0 in a total ``order``."""
+    stored = stored_in_order(df.withColumn("_one", F.lit(1).cast("bigint")), *order)
+    return with_running(stored, order, ["_one"]).select(*df.columns, F.col("_before__one").alias("place"))

@@ -34,10 +34,10 @@ def test_lengths(train, test, default=DEFAULT_HORIZON):
     )
 
 
-def with_step(test):
-    """Number the test rows of a series 1, 2, ... in time order."""
+def with_step(test, *more):
+    """Number the test rows of a series 1, 2, ... in time order; keeps the columns ``more``."""
     order = Window.partitionBy(*SERIES).orderBy("year", "week_of_year")
-    return keyed(test).select(*WEEK_KEY, TARGET).withColumn("h", F.row_number().over(order))
+    return keyed(test).select(*WEEK_KEY, TARGET, *more).withColumn("h", F.row_number().over(order))
 
 
 def align_forecast(test, models, forecast, horizon=None):

@@ -17,7 +17,6 @@ from .alignment import align_forecast, keyed
 ORDER = (1, 1, 1)
 SINGULAR = 1e-9
 STATIONARY = 0.99
-MIN_ROWS = 8
 
 
 def _cross(i, j):
@@ -69,11 +68,11 @@ def _with_stationary(df, p):
     return df.withColumn("stationary", stationary)
 
 
-def fit_arima(train, order=ORDER, min_rows=MIN_ROWS):
+def fit_arima(train, order=ORDER):
     """One coefficient row per series.
 
-    ``phi`` and ``theta`` are null where the series is too short, singular or not
-    clearly stationary; the forecast is then the last value. ``values``, ``residuals``
+    ``phi`` and ``theta`` are null where the equations of a series have no single
+    solution, as with fewer rows than coefficients, or its fit is not clearly stationary; the forecast is then the last value. ``values``, ``residuals``
     and ``levels`` hold what the recursion starts from, latest first.
     """
     p, d, q = order
@@ -124,7 +123,7 @@ def fit_arima(train, order=ORDER, min_rows=MIN_ROWS):
     solved = F.lit(True)
     for i in range(p + q):
         solved = solved & F.col(f"x_{i}").isNotNull()
-    accepted = solved & (F.col("used_rows") >= min_rows) & F.col("stationary")
+    accepted = solved & (F.col("used_rows") >= p + q) & F.col("stationary")
 
     def coefficients(first, count):
         array = F.array(*[F.col(f"x_{i}") for i in range(first, first + count)]).cast("array<double>")
@@ -187,6 +186,10 @@ def _recursion(h, d):
     return F.aggregate(steps, start, step, lambda s: s["levels"][0])
 
 
-def arima_forecast(train, test, order=ORDER, horizon=None, min_rows=MIN_ROWS):
-    models = fit_arima(train, order, min_rows)
+def forecast_from(models, test, order=ORDER, horizon=None):
+    """Forecast table over the test rows from a fitted or stored model table."""
     return align_forecast(test, models, arima_value(F.col("h"), order), horizon)
+
+
+def arima_forecast(train, test, order=ORDER, horizon=None):
+    return forecast_from(fit_arima(train, order), test, order, horizon)

@@ -62,6 +62,23 @@ def metrics_by_model(forecasts, drop_missing=(), label=TARGET, prediction="predi
     return _errors(kept.groupBy("model"), digits)
 
 
+def metrics_side_by_side(rows, predictions, drop_missing=(), label=TARGET, digits=4):
+    """Metric rows of several predictions on the same rows, given as columns by model name."""
+    nan = F.lit(float("nan"))
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("model"),
+                F.coalesce(value.cast("double"), nan).alias("_p"),
+                F.lit(name in drop_missing).alias("_drop"),
+            )
+            for name, value in predictions.items()
+        ]
+    )
+    pairs = rows.select(F.coalesce(F.col(label).cast("double"), nan).alias("_y"), F.inline(cells))
+    return _errors(pairs.where(~F.col("_drop") | _complete()).groupBy("model"), digits)
+
+
 def union_all(frames):
     return reduce(lambda a, b: a.unionByName(b), frames)
 

@@ -102,7 +102,7 @@ def monthly_boxes(weekly):
     spread = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(TARGET).between(F.col("q1") - spread, F.col("q3") + spread)
     return (
-        counted.join(F.broadcast(boxes), "month")  # twelve rows
+        counted.join(F.broadcast(boxes), "month")  # twelve rows at most
         .groupBy("month", *QUARTILES)
         .agg(
             F.min(F.when(inside, F.col(TARGET))).cast("double").alias("lo"),
@@ -194,25 +194,17 @@ def item_volatility(weekly):
 def correlations(gold, columns=CORRELATED):
     """Lower triangle of the Pearson matrix in long form, diagonal included.
 
-    Each row is fanned out to one (column, value) pair per matrix row, which keeps
-    the aggregation small enough to compile; the pairs combine on the map side.
+    One aggregation of one row per input row, combined on the map side.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("row"), F.col(c).cast("double").alias("x")) for c in columns])
-    matrix = (
-        gold.select(*columns, F.inline(pairs))
-        .groupBy("row")
-        .agg(*[F.corr("x", F.col(c)).alias(c) for c in columns])
-    )
-    place = {c: i for i, c in enumerate(columns)}
-    index = F.element_at(F.create_map(*[F.lit(v) for kv in place.items() for v in kv]), F.col("row"))
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[: i + 1]]
+    matrix = gold.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.col(c).alias("r")) for c, i in place.items()]
-    )
-    return (
-        matrix.select("row", index.alias("at"), F.inline(cells))
-        .where(F.col("i") <= F.col("at"))
-        .select("row", "column", "r")
+        *[
+            F.struct(F.lit(a).alias("row"), F.lit(b).alias("column"), F.col(f"r{i}").alias("r"))
+            for i, (a, b) in enumerate(pairs)
+        ]
     )
+    return matrix.select(F.inline(cells))
 
 
 def lag_pairs(gold, lag="lag_1_week"):

@@ -15,9 +15,7 @@ from ..columns import (
     TARGET,
     TRAILING,
 )
-from ..functions import absolute_week, approximate_week_start
-
-HEAD_LENGTH = 3
+from ..functions import absolute_week, approximate_week_start, places
 
 
 def calendar_features(weekly, base_year=BASE_YEAR):
@@ -68,19 +66,19 @@ def feature_rows(weekly, base_year=BASE_YEAR):
     return drop_warmup(with_history).select(*GOLD_SCALARS)
 
 
-def fit_encoder(rows):
-    """Store and item one-hot encoder; a category not in ``rows`` gets a bucket of
+def encoder_stages():
+    """Store and item one-hot encoder; a category not seen in fitting gets a bucket of
     its own at the index step and an all-zero vector at the encoding step."""
-    return Pipeline(
-        stages=[
-            StringIndexer(
-                inputCols=list(SERIES), outputCols=["store_idx", "item_idx"], handleInvalid="keep"
-            ),
-            OneHotEncoder(
-                inputCols=["store_idx", "item_idx"], outputCols=["store_ohe", "item_ohe"], dropLast=True
-            ),
-        ]
-    ).fit(rows.select(*SERIES))
+    return [
+        StringIndexer(inputCols=list(SERIES), outputCols=["store_idx", "item_idx"], handleInvalid="keep"),
+        OneHotEncoder(
+            inputCols=["store_idx", "item_idx"], outputCols=["store_ohe", "item_ohe"], dropLast=True
+        ),
+    ]
+
+
+def fit_encoder(rows):
+    return Pipeline(stages=encoder_stages()).fit(rows.select(*SERIES))
 
 
 def encode(features, encoder):
@@ -88,27 +86,28 @@ def encode(features, encoder):
 
 
 def category_index(df, column):
-    """Index of each category by descending frequency, ties in text order.
+    """Index of each category by descending frequency, ties in text order."""
+    counts = df.groupBy(F.col(column).cast("string").alias("category")).agg(F.count(F.lit(1)).alias("rows"))
+    placed = places(counts, F.desc("rows"), F.col("category"))
+    return placed.select("category", "rows", F.col("place").cast("double").alias("index"))
 
-    Categories of one frequency are split by their first characters, so a catalogue
-    whose items all have the same count is still ranked in many tasks. What reaches
-    the single ordering of all groups is one row per frequency and text head.
+
+def target_means(rows, column, target=TARGET, weight=20):
+    """Mean target per category, drawn towards the overall mean by ``weight`` rows.
+
+    One number stands for a category, so a model's width does not grow with the
+    catalogue as one-hot slots do. Fit it on training rows only.
     """
-    counts = (
-        df.groupBy(F.col(column).cast("string").alias("category"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("head", F.substring("category", 1, HEAD_LENGTH))
-    )
-    earlier = Window.orderBy(F.desc("rows"), "head").rowsBetween(Window.unboundedPreceding, -1)
-    groups = (
-        counts.groupBy("rows", "head")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("rows", "head", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))
+    sums = rows.groupBy(column).agg(F.sum(target).alias("_sum"), F.count(target).alias("_rows"))
+    overall = rows.agg(F.avg(target)).scalar()
+    return sums.withColumn("_mean", overall).select(
+        column,
+        (F.try_divide(F.col("_sum") + weight * F.col("_mean"), F.col("_rows") + weight)).alias(f"{column}_mean"),
     )
-    inside = Window.partitionBy("rows", "head").orderBy("category")
-    index = F.col("ahead") + F.col("place") - 1
-    return (
-        counts.withColumn("place", F.row_number().over(inside))
-        .join(groups, ["rows", "head"])
-        .select("category", "rows", index.cast("double").alias("index"))
+
+
+def encode_by_mean(features, means, column, default):
+    """Add ``<column>_mean`` by join; a category without one gets ``default``."""
+    return features.join(means, column, "left").withColumn(
+        f"{column}_mean", F.coalesce(f"{column}_mean", F.lit(default).cast("double"))
     )

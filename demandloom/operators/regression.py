@@ -6,6 +6,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import functions as F
 
 from ..columns import SCALAR_FEATURES, TARGET
+from .features import encoder_stages
 
 INPUTS = (*SCALAR_FEATURES, "store_ohe", "item_ohe")
 
@@ -20,11 +21,11 @@ DEFAULTS = {
     "RandomForest": {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "auto", "seed": 42},
     "GradientBoosting": {"maxIter": 50, "maxDepth": 5, "stepSize": 0.1, "seed": 42},
 }
-# Not part of a model: larger node groups and remembered node positions take fewer
-# passes over the training rows and give the same trees.
+# Not part of a model: larger node groups take fewer passes over the training rows and
+# give the same trees.
 TUNING = {
     "LinearRegression": {},
-    "RandomForest": {"maxMemoryInMB": 512, "cacheNodeIds": True},
+    "RandomForest": {"maxMemoryInMB": 512},
     "GradientBoosting": {"maxMemoryInMB": 512},
 }
 
@@ -34,7 +35,11 @@ def assembler():
 
 
 class Regressor:
-    """Assembler and one MLlib regressor, named as in ``ESTIMATORS``."""
+    """Assembler and one MLlib regressor, named as in ``ESTIMATORS``.
+
+    Fitted on rows without one-hot columns, it learns the encoder from those rows too and
+    keeps it: a loaded regressor scores new weeks, also of stores it has never seen.
+    """
 
     def __init__(self, name, **settings):
         self.name = name
@@ -45,7 +50,8 @@ class Regressor:
         estimator = ESTIMATORS[self.name](
             featuresCol="features", labelCol=TARGET, predictionCol="prediction", **self.settings
         )
-        self.model = Pipeline(stages=[assembler(), estimator]).fit(train)
+        encoder = [] if "store_ohe" in train.columns else encoder_stages()
+        self.model = Pipeline(stages=[*encoder, assembler(), estimator]).fit(train)
         return self
 
     def _fitted(self):
@@ -78,7 +84,8 @@ class Regressor:
         """
         model = self._fitted()
         spark = rows.sparkSession
-        attributes = model.stages[0].transform(rows.limit(0)).schema["features"].metadata["ml_attr"]["attrs"]
+        inputs = PipelineModel(stages=model.stages[:-1])
+        attributes = inputs.transform(rows.limit(0)).schema["features"].metadata["ml_attr"]["attrs"]
         names = {a["idx"]: a["name"] for group in attributes.values() for a in group}
         values = model.stages[-1].featureImportances.toArray()
         table = spark.createDataFrame(

@@ -147,9 +147,13 @@ def score_weeks(weeks, models):
 
 
 def seasonal_forecast(train, test, fit=ridge_fit):
+    return forecast_from(fit_seasonal(train, fit), test)
+
+
+def forecast_from(models, test):
     """Forecast table over the test rows, NaN for series without a model."""
     value = seasonal_value(iso_monday(F.col("year"), F.col("week_of_year")))
-    return keyed(test).join(fit_seasonal(train, fit), list(SERIES), "left").select(
+    return keyed(test).join(models, list(SERIES), "left").select(
         *WEEK_KEY,
         F.col(TARGET).cast("double").alias(TARGET),
         F.coalesce(value, F.lit(float("nan"))).alias("prediction"),

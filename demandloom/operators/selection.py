@@ -1,5 +1,9 @@
 """Row filters, splits and the totals built on filtered predictions."""
 
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..columns import SERIES, TEST_YEAR, TRAIN_UNTIL
@@ -24,17 +28,18 @@ def split_report(df, train_until=TRAIN_UNTIL, test_year=TEST_YEAR):
 
 
 def filter_predictions(df, year=None, stores=None, items=None, weeks=None):
-    """Optional filters; an empty list, None or a column the data lacks filters nothing."""
-    present = set(df.columns)
-    if year is not None and "year" in present:
-        df = df.where(F.col("year") == year)
-    if stores and "store" in present:
-        df = df.where(F.col("store").isin(list(stores)))
-    if items and "item" in present:
-        df = df.where(F.col("item").isin(list(items)))
-    if weeks is not None and "week" in present:
-        df = df.where(F.col("week").between(*weeks))
-    return df
+    """Rows inside all bounds given. What is not given, is empty, or names a column that
+    the data lacks, bounds nothing. ``weeks`` is a first and a last week."""
+    one_year = [year] if year is not None else None
+    first, last = weeks if weeks is not None else (None, None)
+    bounds = {
+        "year": one_year and F.col("year").isin(one_year),
+        "store": stores and F.col("store").isin([*stores]),
+        "item": items and F.col("item").isin([*items]),
+        "week": None if weeks is None else F.col("week").between(first, last),
+    }
+    met = [bound for column, bound in bounds.items() if isinstance(bound, Column) and column in df.columns]
+    return df.where(reduce(and_, met, F.lit(True)))
 
 
 def single_series(df, store, item, n=10):

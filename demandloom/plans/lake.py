@@ -1,8 +1,11 @@
 """Bronze, silver and gold layers as parquet."""
 
+from pyspark.sql import functions as F
+
 from ..columns import BASE_YEAR, DAILY_COLUMNS, WEEK_KEY, WEEKLY_COLUMNS
 from ..operators.cleaning import clean_daily
 from ..operators.features import encode, feature_rows, fit_encoder
+from ..operators.validation import require_valid, validation_report
 from ..operators.weekly import to_weekly
 from ..sources.readers import read_layer
 from ..sources.writers import write_by_store, write_plain
@@ -16,26 +19,37 @@ def layer_paths(root):
         "silver_daily": f"{root}/silver/daily_sales",
         "silver_weekly": f"{root}/silver/weekly_sales",
         "gold": f"{root}/gold/features",
+        "encoder": f"{root}/gold/encoder",
     }
 
 
-def build_gold(weekly, base_year=BASE_YEAR, encoder_rows=None):
-    """Gold features. The encoder learns its categories from all gold rows unless
-    other rows, such as the training years only, are given."""
+def gold_and_encoder(weekly, base_year=BASE_YEAR, train_until=None):
+    """Gold features and their encoder, which learns the categories of the years up to
+    ``train_until`` only, or of all years without it."""
     features = feature_rows(weekly, base_year)
-    return encode(features, fit_encoder(features if encoder_rows is None else encoder_rows))
+    encoder = fit_encoder(features if train_until is None else features.where(F.col("year") <= train_until))
+    return encode(features, encoder), encoder
+
+
+def build_gold(weekly, base_year=BASE_YEAR, train_until=None):
+    return gold_and_encoder(weekly, base_year, train_until)[0]
 
 
-def build_lake(spark, root, holidays, base_year=BASE_YEAR, raw=None, start="bronze"):
+def build_lake(
+    spark, root, holidays, base_year=BASE_YEAR, raw=None, start="bronze", checks=None, train_until=None
+):
     """Build the layers from ``start`` on, each from the layer stored before it.
 
     Returns the row count read back from every layer built. ``raw`` is needed only
-    when bronze is built.
+    when bronze is built. With ``checks``, the arguments of ``validation_report``, raw
+    rows that fail raise before anything is written. The encoder is stored beside gold.
     """
     paths = layer_paths(root)
     todo = LAYERS[LAYERS.index(start) :]
     counts = {}
     if "bronze" in todo:
+        if checks is not None:
+            require_valid(validation_report(raw, **checks))
         counts["bronze"] = write_plain(raw, paths["bronze"])
     if "silver_daily" in todo:
         daily = clean_daily(read_layer(spark, paths["bronze"]), holidays)
@@ -44,6 +58,8 @@ def build_lake(spark, root, holidays, base_year=BASE_YEAR, raw=None, start="bron
         weekly = to_weekly(read_layer(spark, paths["silver_daily"], DAILY_COLUMNS))
         counts["silver_weekly"] = write_by_store(weekly, paths["silver_weekly"], sort=("year", *WEEK_KEY))
     if "gold" in todo:
-        gold = build_gold(read_layer(spark, paths["silver_weekly"], WEEKLY_COLUMNS), base_year)
+        stored = read_layer(spark, paths["silver_weekly"], WEEKLY_COLUMNS)
+        gold, encoder = gold_and_encoder(stored, base_year, train_until)
+        encoder.write().overwrite().save(paths["encoder"])
         counts["gold"] = write_by_store(gold, paths["gold"], sort=("year", *WEEK_KEY))
     return counts

@@ -5,13 +5,21 @@ from pyspark.sql import functions as F
 from ..columns import SERIES
 from ..operators.cleaning import clean_daily
 from ..operators.seasonal import score_weeks
+from ..operators.selection import filter_predictions
 from ..operators.weekly import to_weekly, week_keys
 from ..sources.readers import daily_upload
+from ..sources.writers import export_csv
+
+
+def export_filtered(predictions, path, **bounds):
+    """Write the predictions inside ``bounds`` (see ``filter_predictions``) as sorted CSV."""
+    export_csv(filter_predictions(predictions, **bounds), path, sort=(*SERIES, "year", "week"))
 
 
 def score_upload(upload, holidays, models):
     """sales_prediction per series and week of the upload. Series without a stored
-    model are left out."""
-    weekly = to_weekly(clean_daily(daily_upload(upload), holidays))
+    model and rows without a readable date are left out."""
+    dated = daily_upload(upload).where(F.col("date").isNotNull())
+    weekly = to_weekly(clean_daily(dated, holidays))
     weeks = week_keys(weekly).select(*SERIES, "year", F.col("week_of_year").alias("week"))
     return score_weeks(weeks, models)

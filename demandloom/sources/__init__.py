@@ -1,4 +1,13 @@
-from .readers import daily_upload, holiday_dates, read_holidays, read_layer, read_metrics, read_raw_sales
+from .readers import (
+    daily_upload,
+    holiday_dates,
+    read_holidays,
+    read_layer,
+    read_metrics,
+    read_raw_sales,
+    read_upload,
+    rejected_dates,
+)
 from .writers import (
     append_check_log,
     export_csv,
@@ -16,6 +25,8 @@ __all__ = [
     "read_layer",
     "read_metrics",
     "read_raw_sales",
+    "read_upload",
+    "rejected_dates",
     "write_by_store",
     "write_metrics",
     "write_plain",

@@ -42,8 +42,23 @@ def read_metrics(spark, path):
     return spark.read.csv(path, schema=schema, header=True)
 
 
+def read_upload(spark, path):
+    """An uploaded CSV with a header: date as text, store, item, and sales if it has them."""
+    rows = spark.read.csv(path, header=True)
+    whole = [c for c in ("store", "item", "sales") if c in rows.columns]
+    return rows.select("date", *[F.col(c).try_cast("int").alias(c) for c in whole])
+
+
+def rejected_dates(rows):
+    """How many uploaded rows have no date that can be read."""
+    return daily_upload(rows).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("date").isNull()).alias("rejected_rows")
+    )
+
+
 def daily_upload(rows):
-    """Rows uploaded for scoring: day-first text dates, sales optional."""
+    """Rows uploaded for scoring: day-first text dates, sales optional. A date that
+    cannot be read is null; ``rejected_dates`` counts those."""
     if dict(rows.dtypes)["date"] == "string":
         parsed = [F.try_to_date(F.col("date"), fmt) for fmt in UPLOAD_DATE_FORMATS]
         rows = rows.withColumn("date", F.coalesce(*parsed))

@@ -26,27 +26,18 @@ TABLES = {
     "orders": "o_orderdate timestamp_ntz",
 }
 
-# Holidays on a set day, as (month, day, name).
-FIXED_HOLIDAYS = (
-    (1, 1, "New Year's Day"),
-    (2, 14, "Valentine's Day"),
-    (6, 19, "Juneteenth"),
-    (7, 4, "4th of July"),
-    (11, 11, "Veterans Day"),
-    (12, 24, "Christmas Eve"),
-    (12, 25, "Christmas Day"),
-    (12, 31, "New Year's Eve"),
-)
+# Holidays on a set day, as (month, day).
+FIXED_HOLIDAYS = ((1, 1), (2, 14), (6, 19), (7, 4), (11, 11), (12, 24), (12, 25), (12, 31))
 # Holidays on a weekday, as (month, first day, last day, weekday with
-# Monday = 0, name).
+# Monday = 0). A rule that stands twice lists its dates under two names.
 WEEKDAY_HOLIDAYS = (
-    (1, 15, 21, 0, "Martin Luther King Day"),
-    (2, 15, 21, 0, "Washington's Birthday"),
-    (5, 25, 31, 0, "Memorial Day"),
-    (9, 1, 7, 0, "Labor Day"),
-    (9, 1, 7, 0, "Labor Day Weekend"),
-    (10, 8, 14, 0, "Columbus Day"),
-    (11, 22, 28, 3, "Thanksgiving Day"),
+    (1, 15, 21, 0),
+    (2, 15, 21, 0),
+    (5, 25, 31, 0),
+    (9, 1, 7, 0),
+    (9, 1, 7, 0),
+    (10, 8, 14, 0),
+    (11, 22, 28, 3),
 )
 
 
@@ -94,21 +85,17 @@ def dirty_sales(spark, sf_dir):
 
 
 def holiday_rows(spark, sf_dir):
-    """(Date, Holiday) text rows, one per order placed on a holiday and name of it."""
-
-    def named(condition, name):
-        return f"if({condition}, '{name.replace(chr(39), chr(92) + chr(39))}', null)"
+    """(Date, Holiday) text rows, one per date with an order and holiday rule it meets.
 
-    fixed = [named(f"month(d) = {m} and day(d) = {n}", name) for m, n, name in FIXED_HOLIDAYS]
+    Orders collapse to their dates before any rule is tried.
+    """
+    fixed = [f"if(month(d) = {m} and day(d) = {n}, 'day-{m}-{n}', null)" for m, n in FIXED_HOLIDAYS]
     moving = [
-        named(f"month(d) = {m} and day(d) between {first} and {last} and weekday(d) = {wd}", name)
-        for m, first, last, wd, name in WEEKDAY_HOLIDAYS
+        f"if(month(d) = {m} and day(d) between {first} and {last} and weekday(d) = {wd}, 'week-rule-{k}', null)"
+        for k, (m, first, last, wd) in enumerate(WEEKDAY_HOLIDAYS)
     ]
     names = f"array_compact(array({', '.join(fixed + moving)}))"
-    return (
-        table(spark, sf_dir, "orders")
-        .select(F.col("o_orderdate").cast("date").alias("d"))
-        .select(
-            F.date_format("d", "yyyy-MM-dd").alias("Date"), F.explode(F.expr(names)).alias("Holiday")
-        )
+    dates = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("d")).distinct()
+    return dates.select(
+        F.date_format("d", "yyyy-MM-dd").alias("Date"), F.explode(F.expr(names)).alias("Holiday")
     )
