@@ -1,3 +1,114 @@
-"""DuckDB SQL of the registered queries that SQL can express."""
+"""DuckDB SQL of the registered queries that SQL can express on whole tables.
 
-SQL = {}
+The others have none: DuckDB has no crc32, XXH64, tokenizer or model fit, and windows
+of entropy would need a recursion over every character. They are tested against brute force, exact round trips and held-out rows in ``tests/llm``.
+"""
+
+from .quality_rules import BASE_RULES, DISTINCT_BASE, MARKS, RULES, STOP_WORDS, SYMBOLS, any_of
+
+GAP = r"[\x20\x09-\x0D]+"
+
+
+def _count(characters):
+    return f"length(text) - length(translate(text, '{characters}', ''))"
+
+
+def _quality_rules():
+    stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    return rf"""
+    WITH d AS (
+      SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+    w AS (
+      SELECT *, [x FOR x IN string_split_regex(text, '{GAP}') IF x <> ''] AS words,
+             [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+      FROM d),
+    places AS (SELECT rid, unnest(words) AS word, unnest(range(len(words))) AS i FROM w),
+    windows AS (
+      SELECT rid, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS gram
+      FROM places WINDOW o AS (PARTITION BY rid ORDER BY i)),
+    repeated AS (
+      SELECT rid, i FROM windows WHERE gram IS NOT NULL QUALIFY count(*) OVER (PARTITION BY rid, gram) > 1),
+    hit AS (
+      SELECT rid, count(DISTINCT i + k) AS n FROM repeated, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid),
+    m AS (
+      SELECT doc_id, len(words) AS n_words, length(list_aggregate(words, 'string_agg', '')) AS chars,
+             {_count(SYMBOLS)} AS n_symbols, {_count(MARKS)} AS n_marks,
+             len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines,
+             coalesce(hit.n, 0) AS n_repeat_words,
+             len([x FOR x IN words IF lower(x) IN ({stop})]) AS n_stop_words,
+             len(list_distinct(words)) AS n_distinct_words, least(len(words), {DISTINCT_BASE}) AS least_of_words
+      FROM w LEFT JOIN hit USING (rid)),
+    s AS (SELECT *, coalesce(chars, 0) AS word_chars FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           ({any_of(BASE_RULES)}) AS base_failed, NOT ({any_of((*BASE_RULES, *RULES))}) AS kept
+    FROM s"""
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(source, key):
+    """One row per word: the row's own number, its id, the word and its place."""
+    return rf"""
+      SELECT rid, {key}, unnest(words) AS word, unnest(range(len(words))) AS i, len(words) AS n
+      FROM (SELECT row_number() OVER () AS rid, {key},
+                   regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS words FROM {source})"""
+
+
+def _grams(source, key, size):
+    tail = "".join(f" || ' ' || lead(word, {k}) OVER o" for k in range(1, size))
+    return f"""SELECT rid, {key}, i, n, {size} AS size, word{tail} AS gram FROM {source}
+      WINDOW o AS (PARTITION BY rid ORDER BY i)"""
+
+
+def _decontamination():
+    """Windows of every length up to ten, looked up in the document's windows of that length."""
+    item = " UNION ALL ".join(
+        f"SELECT item_id, size, gram FROM ({_grams('item_words', 'item_id', k)}) WHERE gram IS NOT NULL AND {'n >= 10' if k == 10 else f'n = {k}'}"
+        for k in range(1, 11)
+    )
+    # A length that no item has costs one empty join.
+    doc = " UNION ALL ".join(
+        f"""SELECT rid, i, size, gram FROM ({_grams('doc_words', 'doc_id', k)})
+        WHERE gram IN (SELECT gram FROM item_windows WHERE size = {k})"""
+        for k in range(1, 11)
+    )
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+    doc_words AS ({_words('documents', 'doc_id')}),
+    item_words AS ({_words('benchmark', 'item_id')}),
+    item_windows AS (SELECT DISTINCT item_id, size, gram FROM ({item})),
+    found AS ({doc}),
+    hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + size)) AS p FROM found) GROUP BY rid),
+    items AS (
+      SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+      FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM found JOIN item_windows USING (size, gram)) GROUP BY rid)
+    SELECT doc_id,
+           len(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORD}')) AS n_words,
+           coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)"""
+
+
+def _warc_bundles():
+    """Base 32 of a SHA-1: each five hex digits are four letters."""
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    letters = " || ".join(
+        f"substr('{alphabet}', CAST((CAST('0x' || substr(hex, {5 * k + 1}, 5) AS BIGINT) >> {shift}) & 31 AS BIGINT) + 1, 1)"
+        for k in range(8)
+        for shift in (15, 10, 5, 0)
+    )
+    return f"""
+    SELECT page_id, strlen(payload) AS payload_bytes, {letters} AS payload_digest,
+           CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> top THEN top END AS refers_to
+    FROM (SELECT page_id, payload, sha1(payload) AS hex, max(page_id) OVER (PARTITION BY payload) AS top
+          FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages))"""
+
+
+SQL = {
+    "op2_decontamination": _decontamination(),
+    "op3_quality_rules": _quality_rules(),
+    "op8_warc_bundles": _warc_bundles(),
+}
