@@ -1,14 +1,15 @@
 """Shards of nearly equal bytes by sampled splitters.
 
 Each record has a place on a line of 64-bit keys: the hash of its text, then a few bits
-of a hash of its id, so equal texts are neighbours and a large group of them can still be
-cut. A size-weighted sample of keys gives quantile boundaries of many small ranges. The
-ranges are then measured over all records; overfull ones are subdivided, and ranges are
-laid into shards, the largest first, always into the emptiest shard.
-
-Only the sample, the boundaries and one count per range reach the driver. Their number
-is set by parameters, not by the documents: ranges grow only to keep a range's rows in
-one task. Text is read once; everything later works on a stored table of ids and sizes.
+of a hash of its id, so equal texts are neighbours. A size-weighted sample of keys gives
+quantile boundaries of many small ranges. A group of equal texts stays whole unless the
+sample shows it to hold more than a set share of a shard; only then do boundaries cut it.
+The ranges are measured over all records, overfull ones are subdivided, and the pieces
+are laid into shards, the largest first, always into the emptiest shard.
+
+Only the sample, the boundaries and one count per piece reach the driver. Their number
+is set by parameters, not by the documents. Slots are numbered in parts of bounded rows.
+Text is read once; everything later works on a stored table of ids and sizes.
 """
 
 import heapq
@@ -23,10 +24,13 @@ from .rows import map_slices
 
 SHARDS = 40
 RANGES_PER_SHARD = 32
-ROWS_PER_RANGE = 200_000
+#: Rows whose slots are numbered in one task.
+ROWS_PER_PART = 200_000
 SAMPLES_PER_RANGE = 16
 #: A range is overfull when it holds more than this share of an even range.
 OVERFULL = 1.5
+#: A group of equal texts is cut when it holds more than this share of a shard.
+GROUP_SHARE = 1 / 8
 RECORD_BYTES = 16
 #: Low bits of a key that tell records with one text apart.
 ID_BITS = 20
@@ -45,28 +49,30 @@ def keyed_records(docs, id_col="doc_id", text_col="text"):
     )
 
 
-def sampled_boundaries(records, total, n_ranges, per_range=SAMPLES_PER_RANGE):
-    """Range boundaries at quantiles of a sample in which bytes, not rows, are equally likely.
+def sampled_boundaries(records, total, n_ranges, group_bytes, per_range=SAMPLES_PER_RANGE):
+    """Range boundaries at quantiles of a sample in which bytes, not rows, are equally likely,
+    and the groups of equal texts that hold more than ``group_bytes`` of it.
 
     The draw depends on the record alone, so a task that runs again draws the same. About
-    ``n_ranges * per_range`` keys come to the driver. A boundary is moved to the start of
-    its group of equal texts, unless the group itself spans boundaries and must be cut.
+    ``n_ranges * per_range`` keys come to the driver. A boundary inside any other group is
+    moved to the group's start.
     """
     wanted = n_ranges * per_range
     draw = F.pmod(F.xxhash64("_key", "doc_id", F.lit("draw")), F.lit(1 << 30)) / (1 << 30)
     sample = records.where(draw * F.lit(float(total)) < F.col("size") * F.lit(float(wanted))).select("_key", "size")
     rows = sample.toArrow()
     if not rows.num_rows:
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int64), []
     keys, sizes = rows["_key"].to_numpy(), rows["size"].to_numpy().astype(float)
     order = np.argsort(keys, kind="stable")
-    keys, sizes = keys[order], sizes[order]
     # A record larger than one sampling step is drawn for sure and stands for all its bytes.
-    passed = np.cumsum(np.maximum(sizes, total / wanted))
+    keys, weights = keys[order], np.maximum(sizes[order], total / wanted)
+    passed = np.cumsum(weights)
     cuts = keys[np.searchsorted(passed, passed[-1] * np.arange(1, n_ranges) / n_ranges)]
-    groups = cuts >> ID_BITS
-    alone = np.r_[True, groups[1:] != groups[:-1]] & np.r_[groups[1:] != groups[:-1], True]
-    return np.unique(np.where(alone, groups << ID_BITS, cuts))
+    groups, place = np.unique(keys >> ID_BITS, return_inverse=True)
+    large = groups[np.bincount(place, weights) > group_bytes]
+    own = cuts >> ID_BITS
+    return np.unique(np.where(np.isin(own, large), cuts, own << ID_BITS)), large.tolist()
 
 
 def _ranged(records, boundaries):
@@ -94,48 +100,62 @@ def place_by_bytes(docs, n_shards=SHARDS, id_col="doc_id", text_col="text", rang
     path = shared_folder(spark, "sharding")
     keyed_records(docs, id_col, text_col).write.parquet(f"{path}/records")
     records = spark.read.parquet(f"{path}/records")
-    rows, total = records.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    n_ranges = max(n_shards * ranges_per_shard, -(-rows // ROWS_PER_RANGE))
-    boundaries = sampled_boundaries(records, max(total, 1), n_ranges)
+    total = records.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    n_ranges = n_shards * ranges_per_shard
+    group_bytes = GROUP_SHARE * total / n_shards
+    boundaries, large = sampled_boundaries(records, max(total, 1), n_ranges, group_bytes)
     _ranged(records, boundaries).write.parquet(f"{path}/ranged")
     ranged = spark.read.parquet(f"{path}/ranged")
 
-    # Overfull ranges are cut by a hash of key and id, into as many pieces as they hold even ranges.
+    # Overfull ranges go into as many pieces as they hold even ranges, whole groups together
+    # but for the large ones. Both tables are bounded: a range has one row, and at most
+    # n_shards / GROUP_SHARE groups are large.
     measured = ranged.groupBy("_range").agg(F.sum("size").alias("bytes")).toArrow()
     even = max(total / n_ranges, 1)
-    pieces = {
-        r: int(np.ceil(b / even)) for r, b in zip(measured["_range"].to_pylist(), measured["bytes"].to_pylist())
+    cuts = [
+        (r, int(np.ceil(b / even)))
+        for r, b in zip(measured["_range"].to_pylist(), measured["bytes"].to_pylist())
         if b > OVERFULL * even
-    }
-    cuts = spark.createDataFrame(list(pieces.items()), "_range int, _pieces int")
-    piece = F.when(
-        F.col("_pieces").isNotNull(), F.pmod(F.xxhash64("_key", "doc_id", F.lit("piece")), F.col("_pieces"))
-    ).otherwise(F.lit(0))
-    # One row per overfull range, of which there are at most n_ranges.
-    pieced = ranged.join(F.broadcast(cuts), "_range", "left").withColumn("_piece", piece.cast("int"))
+    ]
+    cut = F.broadcast(spark.createDataFrame(cuts, "_range int, _pieces int"))
+    known = F.broadcast(spark.createDataFrame([(g, True) for g in large], "_group long, _large boolean"))
+    group = F.shiftright("_key", ID_BITS)
+    unit = F.when(F.col("_large"), F.xxhash64("_key", "doc_id", F.lit("piece"))).otherwise(F.xxhash64("_group"))
+    pieced = (
+        ranged.withColumn("_group", group)
+        .join(cut, "_range", "left")
+        .join(known, "_group", "left")
+        .withColumn("_piece", F.coalesce(F.pmod(unit, F.col("_pieces")), F.lit(0)).cast("int"))
+        .select("doc_id", "size", "text_crc32", "_key", "_range", "_piece")
+    )
 
     held = pieced.groupBy("_range", "_piece").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).toArrow()
-    table = sorted(zip(*(held[c].to_pylist() for c in ("bytes", "rows", "_range", "_piece"))), key=lambda r: (-r[0], r[2:]))
-    shards, filled, placed = [(0, s) for s in range(n_shards)], [0] * n_shards, []
-    for size, count, r, p in table:
-        bytes_, shard = heapq.heappop(shards)
-        placed.append((r, p, shard, filled[shard]))
-        filled[shard] += count
-        heapq.heappush(shards, (bytes_ + size, shard))
-    # At most 2.5 pieces per range: a bounded table again.
-    where = spark.createDataFrame(placed, "_range int, _piece int, shard int, _start long")
-    inside = Window.partitionBy("_range", "_piece").orderBy("_key", "doc_id")
-    return (
-        pieced.join(F.broadcast(where), ["_range", "_piece"])
-        .select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            F.lit("bytes").alias("law"),
-            "shard",
-            (F.col("_start") + F.row_number().over(inside) - 1).alias("slot"),
-            F.lit(None).cast("int").alias("grown_shard"),
-        )
+    pieces = sorted(zip(*(held[c].to_pylist() for c in ("bytes", "rows", "_range", "_piece"))), key=lambda p: (-p[0], p[2:]))
+    shards, placed = [(0, s) for s in range(n_shards)], []
+    for size, count, r, p in pieces:
+        filled, shard = heapq.heappop(shards)
+        placed.append((r, p, shard, -(-count // ROWS_PER_PART)))
+        heapq.heappush(shards, (filled + size, shard))
+    # At most 2.5 pieces per range, and with their parts a bounded table again.
+    where = F.broadcast(spark.createDataFrame(placed, "_range int, _piece int, shard int, _parts int"))
+    part = F.pmod(F.xxhash64("_key", "doc_id", F.lit("part")), F.col("_parts")).cast("int")
+    spots = ["shard", "_range", "_piece", "_part"]
+    parted = pieced.join(where, ["_range", "_piece"]).withColumn("_part", part)
+    counts = sorted(tuple(r) for r in parted.groupBy(*spots).count().collect())
+    starts, before = [], {}
+    for *spot, count in counts:
+        starts.append((*spot, before.get(spot[0], 0)))
+        before[spot[0]] = starts[-1][-1] + count
+    start = F.broadcast(spark.createDataFrame(starts, "shard int, _range int, _piece int, _part int, _start long"))
+    inside = Window.partitionBy(*spots).orderBy("_key", "doc_id")
+    return parted.join(start, spots).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        (F.col("_start") + F.row_number().over(inside) - 1).alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
     )
 
 

@@ -24,6 +24,11 @@ def test_sizes_near_equal_with_hot_text(spark):
     rows = [(i, "hot text " * 40) for i in range(1500)] + [(10_000 + i, "x" * (i * 37 % 900)) for i in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     sizes = checked(sharding.place_by_bytes(docs), rows)
+    shards = {}
+    for r in sharding.place_by_bytes(docs).collect():
+        shards.setdefault(r["text_crc32"], set()).add(r["shard"])
+    # Only the hot text, a fifth of all bytes, is spread; other equal texts stay together.
+    assert [len(s) > 1 for s in shards.values()].count(True) == 1
     assert len(sizes) == 40 and max(sizes) < 1.02 * sum(sizes) / 40 and min(sizes) > 0.98 * sum(sizes) / 40
 
 
@@ -38,3 +43,9 @@ def test_written_shards(spark, tmp_path):
     sharding.write_shards(docs, placed, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(back.select("doc_id", "shard", "slot").collect()) == sorted(placed.select("doc_id", "shard", "slot").collect())
+
+
+def test_slots_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_PART", 7)
+    rows = [(i, f"t{i % 50}") for i in range(400)]
+    checked(sharding.place_by_bytes(spark.createDataFrame(rows, "doc_id long, text string"), 3), rows, 3)
