@@ -36,6 +36,35 @@ def test_query_without_sql_runs(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
+@pytest.mark.parametrize(
+    "name, scans",
+    [("validation_verdict", 2), ("validation_verdict_clean", 1), ("forecast_metrics", 1), ("correlations", 1), ("store_season", 1)],
+)
+def test_source_scans(spark, sf_dir, name, scans):
+    """How often the executed plan reads the largest table."""
+    rows = QUERIES[name](spark, sf_dir)
+    rows.collect()
+    assert 1 <= len(scans_of(rows, "lineitem")) <= scans
+
+
+def scans_of(rows, table):
+    """Scan nodes of a table in the executed plan and its subqueries, without reused ones."""
+    found, todo = [], [rows._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "FileSourceScanExec" and f"{table}.parquet" in node.toString():
+            found.append(node)
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif not kind.startswith("Reused"):
+            children, queries = node.children(), node.subqueries()
+            todo += [children.apply(i) for i in range(children.size())] + [queries.apply(i) for i in range(queries.size())]
+    return found
+
+
 def test_entry(spark):
     rows = contract.entry(spark)
     assert rows.count() == 951 and len(rows.columns) == 15

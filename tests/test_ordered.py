@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from demandloom.functions import exact_percentiles, running_shares
+from demandloom.functions import exact_percentiles, places, running_shares
 
 PERCENTILES = {"lo": 0.0, "q1": 0.25, "median": 0.5, "p90": 0.9, "hi": 1.0}
 
@@ -39,7 +39,7 @@ def test_percentile_of_no_rows_is_no_row(spark):
     assert exact_percentiles(df, "v", {"m": 0.5}).first().m is None
 
 
-def test_running_shares_cross_bucket_borders(spark):
+def test_running_shares_of_far_apart_values(spark):
     values = [0, 1, 1, 2**20 - 1, 2**20, 2**21, 2**33]
     df = spark.createDataFrame([(v, i % 2 == 0) for i, v in enumerate(values)], "v bigint, even boolean")
     got = running_shares(df, "v", {"even": F.col("even"), "odd": ~F.col("even")}).collect()
@@ -47,3 +47,26 @@ def test_running_shares_cross_bucket_borders(spark):
         even = [v for i, v in enumerate(values) if i % 2 == 0]
         assert r.even == pytest.approx(sum(v <= r.v for v in even) / len(even))
         assert r.even_rows == 4 and r.odd_rows == 3
+
+
+@pytest.mark.parametrize("values", [[0.2, 0.4, 0.9], [float(x) for x in np.random.default_rng(4).normal(size=300)]])
+def test_percentiles_of_doubles(spark, values):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
+    got = exact_percentiles(df, "v", PERCENTILES).first().asDict()
+    for name, p in PERCENTILES.items():
+        assert got[name] == pytest.approx(np.percentile(values, p * 100), rel=1e-12)
+
+
+def test_shares_of_doubles_inside_one_unit(spark):
+    df = spark.createDataFrame([(0.1, True), (0.2, True), (0.8, False), (0.9, False)], "v double, old boolean")
+    rows = {r.v: (r.a, r.b) for r in running_shares(df, "v", {"a": F.col("old"), "b": ~F.col("old")}).collect()}
+    assert rows == {0.1: (0.5, 0.0), 0.2: (1.0, 0.0), 0.8: (1.0, 0.5), 0.9: (1.0, 1.0)}
+
+
+def test_places_with_a_common_prefix(spark):
+    """Text that differs late, in falling and rising order, over several ranges."""
+    rows = [(f"SKU{i:05d}", i % 3) for i in range(3000)]
+    df = spark.createDataFrame(rows, "name string, n int").repartition(6)
+    got = [r.name for r in places(df, F.desc("n"), F.col("name")).orderBy("place").collect()]
+    assert got == [name for name, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
+    assert [r.place for r in places(df, F.desc("n"), F.col("name")).orderBy("place").collect()] == list(range(3000))

@@ -4,7 +4,11 @@ from pyspark.sql import functions as F
 
 from demandloom import sources
 from demandloom.columns import DAILY_COLUMNS, WEEK_KEY
+from demandloom.plans.full import run_all
 from demandloom.plans.lake import LAYERS, build_lake, layer_paths
+from demandloom.plans.scoring import export_filtered, score_upload
+from demandloom.operators.regression import Regressor
+from demandloom.session import shared_folder
 from helpers import day, holidays, raw, series, tuples
 
 
@@ -97,3 +101,62 @@ def test_lake_builds_and_resumes(spark, tmp_path):
     assert build_lake(spark, root, off, 2013, start="silver_weekly") == {
         k: counts[k] for k in ("silver_weekly", "gold")
     }
+
+
+def test_upload_file_with_unreadable_dates(spark, tmp_path):
+    path = tmp_path / "upload.csv"
+    path.write_text("date,store,item\n03/04/2017,1,1\n2017/04/10,1,1\n10-04-2017,1,x\n")
+    rows = sources.read_upload(spark, str(path))
+    assert sources.rejected_dates(rows).first().asDict() == {"rows": 3, "rejected_rows": 1}
+    models = spark.createDataFrame([(1, 1, [5.0], [])], "store int, item int, coefficients array<double>, bends array<double>")
+    scored = score_upload(rows, holidays(spark, "2017-01-01"), models)
+    assert tuples(scored) == [(1, 1, 2017, 14, 5.0)]
+
+
+def test_filtered_export(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(s, 1, 2017, w, 1.5) for s in (1, 2, 3) for w in range(1, 6)],
+        "store int, item int, year int, week int, sales_prediction double",
+    )
+    path = str(tmp_path / "out")
+    export_filtered(rows, path, stores=[1, 3], weeks=(2, 3), year=2017, items=[])
+    back = spark.read.csv(path, schema=rows.schema, header=True)
+    assert sorted((r.store, r.week) for r in back.collect()) == [(1, 2), (1, 3), (3, 2), (3, 3)]
+
+
+def test_whole_job_checks_and_resumes(spark, tmp_path):
+    dates = [r.d for r in spark.sql("select explode(sequence(date'2013-01-01', date'2016-06-30')) d").collect()]
+    rows = [(str(d), s, i, (n * i) % 9) for s in (1, 2) for i in (1, 2) for n, d in enumerate(dates)]
+    frame, off, root = raw(spark, rows), holidays(spark, "2013-01-01"), str(tmp_path)
+    checks = {"expected_rows": len(rows), "stores": (1, 2), "items": (1, 2), "dates": ("2013-01-01", "2016-12-31")}
+    with pytest.raises(ValueError):
+        run_all(spark, root, off, frame, checks | {"stores": (2, 2)}, 2013, 2015, 2016)
+    assert not (tmp_path / "bronze").exists()
+    small = {"RandomForest": {"numTrees": 2, "maxDepth": 3}, "GradientBoosting": {"maxIter": 2, "maxDepth": 2}}
+    metrics = tuples(run_all(spark, root, off, frame, checks, 2013, 2015, 2016, settings=small))
+    assert len(metrics) == 5
+    assert tuples(run_all(spark, root, off, base_year=2013, train_until=2015, test_year=2016, start="evaluate")) == metrics
+    # A stored regressor brings its encoder: it scores plain features, also of a new store.
+    loaded = Regressor.load("LinearRegression", f"{root}/training/models/LinearRegression")
+    gold = sources.read_layer(spark, layer_paths(root)["gold"]).drop("store_idx", "item_idx", "store_ohe", "item_ohe")
+    new = gold.limit(3).withColumn("store", F.lit(77))
+    assert loaded.predict(new).where("prediction is not null").count() == 3
+
+
+def test_shared_folder_needs_a_setting_on_clusters(spark):
+    class Conf:
+        def __init__(self, **known):
+            self.known = known
+
+        def get(self, key, default=None):
+            return self.known.get(key.rsplit(".", 1)[-1], default)
+
+    class Session:
+        def __init__(self, **known):
+            self.conf = Conf(**known)
+
+    assert shared_folder(Session(dir="hdfs://a/b/", master="yarn"), "x").startswith("hdfs://a/b/x-")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://h:7077"):
+        with pytest.raises(ValueError):
+            shared_folder(Session(master=master), "x")
+    assert "x-" in shared_folder(Session(master="local[4]"), "x")
