@@ -37,7 +37,7 @@ BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in ra
 
 
 def words_of(text):
-    return [w for w in text.encode("utf-8", "surrogatepass").translate(BYTES).split(b" ") if w]
+    return text.encode("utf-8", "surrogatepass").translate(BYTES).split()
 
 
 def fingerprint(text):
@@ -160,7 +160,7 @@ def key_links(keyed):
     )
     whole = F.array(F.struct(F.lit(0).alias("low"), F.lit(0).alias("high"), F.lit(0).alias("side")))
     dealt = spread.select("key", "start", "fp", F.inline(F.when(F.col("blocks").isNull(), whole).otherwise(pairs)))
-    # Range-free grouping: rows of a group are neighbours in one partition, in order.
+    # Rows of a group are neighbours in one partition, in order.
     ordered = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "side", "fp")
 
     def work(slices):
@@ -244,8 +244,8 @@ def near_duplicates(docs, id_col="doc_id", text_col="text"):
     """doc_id, fp and component_id, the least doc_id that is linked by some path.
 
     Null and empty texts have fingerprint 0 and link like any other. Repeated rows and
-    equal texts fall together. Other columns are not read. Rows with a null id get the
-    component of their fingerprint, which no null id names unless it has no other.
+    equal texts fall together. Other columns are not read. A null id names no component:
+    such rows get the least id of their component, or null if it has none.
     """
     spark = docs.sparkSession
     path = shared_folder(spark, "simhash")

@@ -35,7 +35,7 @@ def plain_probabilities(net, text):
 
 
 def test_learns_and_scores_like_a_plain_network(spark, labelled, odd_docs, no_docs):
-    net = n.fit_language_id(labelled, steps=120) if False else n.train(*n.training_windows(labelled), steps=120)
+    net = n.train(*n.training_windows(labelled), steps=120)
     fresh = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for k, lang in enumerate(WORDS) for t in texts(lang, 20, 50 + k))]
     found = {r["doc_id"]: r for r in n.identify(spark.createDataFrame(fresh, "doc_id long, text string, lang string"), net).collect()}
     assert all(found[i]["lang_pred"] == lang for i, _, lang in fresh)

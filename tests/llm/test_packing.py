@@ -70,16 +70,15 @@ def test_query_rows(spark, odd_docs, no_docs):
     whole = Tokenizer.from_file(PATH)
     texts = {r["doc_id"]: r["text"] or "" for r in odd_docs.collect() if r["doc_id"] is not None}
     rows = p.pack_documents(odd_docs.where("doc_id is not null").dropDuplicates(["doc_id"]).repartition(3), PATH).collect()
-    docs, sequences = defaultdict(list), defaultdict(list)
+    docs, sequences, sizes = defaultdict(list), defaultdict(list), {}
     for r in rows:
         ids = np.array([*whole.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 1], dtype="<u4")
         assert r["doc_tokens"] == len(ids)
         assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
         docs[r["doc_id"]].append((r["start"], r["length"]))
         sequences[r["sequence_id"]].append((r["offset"], r["length"]))
-        if len(docs[r["doc_id"]]) == 1:
-            size = r["doc_tokens"]
-    assert set(docs) == set(texts) and size
-    assert all(contiguous(s) for s in docs.values()) and all(contiguous(s) <= 2048 for s in sequences.values())
+        sizes[r["doc_id"]] = r["doc_tokens"]
+    assert {doc: contiguous(spans) for doc, spans in docs.items()} == sizes and set(sizes) == set(texts)
+    assert all(contiguous(s) <= 2048 for s in sequences.values())
     assert p.pack_documents(odd_docs, PATH).where("start = 0").count() == odd_docs.count()
     assert p.pack_documents(no_docs, PATH).count() == 0
