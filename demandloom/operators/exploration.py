@@ -194,17 +194,31 @@ def item_volatility(weekly):
 def correlations(gold, columns=CORRELATED):
     """Lower triangle of the Pearson matrix in long form, diagonal included.
 
-    One aggregation of one row per input row, combined on the map side.
+    One aggregation of sums and products, combined on the map side, gives every cell.
+    Rows that miss one of the columns are left out; a constant column has null cells.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[: i + 1]]
-    matrix = gold.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    pairs = [(i, k) for i in range(len(columns)) for k in range(i + 1)]
+    x = [F.col(c).cast("double") for c in columns]
+    sums = gold.dropna(subset=list(columns)).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(x[i]).alias(f"s{i}") for i in range(len(columns))],
+        *[F.sum(x[i] * x[k]).alias(f"p{i}_{k}") for i, k in pairs],
+    )
+
+    def spread(i, k):
+        return F.col(f"p{i}_{k}") - F.col(f"s{i}") * F.col(f"s{k}") / F.col("n")
+
     cells = F.array(
         *[
-            F.struct(F.lit(a).alias("row"), F.lit(b).alias("column"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(pairs)
+            F.struct(
+                F.lit(columns[i]).alias("row"),
+                F.lit(columns[k]).alias("column"),
+                F.try_divide(spread(i, k), F.sqrt(spread(i, i)) * F.sqrt(spread(k, k))).alias("r"),
+            )
+            for i, k in pairs
         ]
     )
-    return matrix.select(F.inline(cells))
+    return sums.select(F.inline(cells))
 
 
 def lag_pairs(gold, lag="lag_1_week"):
