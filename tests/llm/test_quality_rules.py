@@ -46,3 +46,10 @@ def test_rules_keep_prose_and_reject_junk(spark):
 def test_no_user_functions(spark, odd_docs):
     plan = q.judge(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Exchange"))
+
+
+def test_statistics_are_worked_out_once(spark, odd_docs):
+    """A filter on the verdict must not repeat the statistics: one split of words, one of lines."""
+    for rows in (q.passing(odd_docs), q.judge(odd_docs).where("kept")):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("split(") == 2 and plan.count("sort_array(") == 1
