@@ -19,7 +19,7 @@ from ..operators import (
     validation,
     weekly as rollup,
 )
-from ..plans.lake import build_lake
+from ..plans.lake import build_lake, layer_paths
 from ..plans.monitoring import check_forecaster
 from ..plans.scoring import export_filtered, score_upload
 from ..plans.training import train_and_compare
@@ -336,6 +336,19 @@ def lake_build(spark, d):
     )
 
 
+def lake_gold(spark, d):
+    """Gold scalars read back from a lake of clean rows that passed the checks."""
+    root, rows = shared_folder(spark, "lake"), sales_daily(spark, d)
+    checks = {
+        "expected_rows": rows.agg(F.count(F.lit(1))).scalar(),
+        "stores": STORE_RANGE,
+        "items": ITEM_RANGE,
+        "dates": DATE_RANGE,
+    }
+    build_lake(spark, root, holidays(spark, d), BASE_YEAR, raw=rows, checks=checks, train_until=TRAIN_UNTIL)
+    return rounded(read_layer(spark, layer_paths(root)["gold"], GOLD_SCALARS), *HISTORY_COLUMNS[3:])
+
+
 def csv_round_trip(spark, d):
     """Daily rows through sorted CSV files and back."""
     path = shared_folder(spark, "csv")
@@ -462,6 +475,7 @@ def average_drift(spark, d):
 
 def queries():
     return {
+        "lake_gold": lake_gold,
         "csv_round_trip": csv_round_trip,
         "filtered_export": filtered_export,
         "metrics_round_trip": metrics_round_trip,
