@@ -26,6 +26,3 @@ def odd_docs(spark):
 def no_docs(odd_docs):
     return odd_docs.where("false")
 
-
-def by_id(df):
-    return {r["doc_id"]: r for r in df.collect()}
