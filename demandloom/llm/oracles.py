@@ -1,9 +1,11 @@
 """DuckDB SQL of the registered queries that SQL can express on whole tables.
 
-The others have none: DuckDB has no crc32, XXH64, tokenizer or model fit, and windows
-of entropy would need a recursion over every character. They are tested against brute force, exact round trips and held-out rows in ``tests/llm``.
+The others have none: DuckDB has no crc32, XXH64, tokenizer or model fit. They are tested against brute force, exact round trips and held-out rows in ``tests/llm``.
 """
 
+import math
+
+from . import secret_scan
 from .quality_rules import BASE_RULES, DISTINCT_BASE, MARKS, RULES, STOP_WORDS, SYMBOLS, any_of
 
 GAP = r"[\x20\x09-\x0D]+"
@@ -107,7 +109,82 @@ def _warc_bundles():
           FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages))"""
 
 
+def _text(value):
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _either(word):
+    """Either case of each letter, without the folding of other alphabets."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+def _matches(source, column, pattern, keep="true"):
+    """All matches of a pattern with their places: the parts between them give the lengths."""
+    p = _text(pattern)
+    return f"""SELECT * EXCLUDE (found, gaps, nth), found[nth] AS m,
+        CAST(list_sum([length(g) FOR g IN gaps[1:nth]]) + coalesce(list_sum([length(f) FOR f IN found[1:nth - 1]]), 0)
+             AS BIGINT) AS place
+      FROM (SELECT *, unnest(range(1, len(found) + 1)) AS nth FROM (
+        SELECT *, regexp_extract_all({column}, {p}) AS found, string_split_regex({column}, {p}) AS gaps FROM {source}))
+      WHERE {keep.replace("PATTERN", p)}"""
+
+
+def _secret_scan():
+    names = "|".join(_either(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    assign = rf"""({names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    base = {
+        "assign": (assign, f"length(regexp_extract(found[nth], PATTERN, 2)) >= {secret_scan.ASSIGN_LEAST}"),
+        "access": (r"AKIA[A-Z0-9]+", f"length(found[nth]) >= {secret_scan.ACCESS_LEAST}"),
+        "hex": (secret_scan.LONG_HEX.pattern, "true"),
+    }
+    known = " UNION ALL ".join(
+        f"SELECT rid, '{kind}' AS kind, {n} AS o, place AS start, place + length(m) AS stop FROM ({_matches('d', 'text', p, keep)})"
+        for n, (kind, (p, keep)) in enumerate(base.items())
+    )
+    allowed = " OR ".join(f"regexp_full_match(m, {_text(p.pattern)})" for p in secret_scan.ALLOWED)
+    before = f"substr(text, greatest(place - {secret_scan.BEFORE_CHARS}, 0) + 1, least(place, {secret_scan.BEFORE_CHARS}))"
+    added = " UNION ALL ".join(_class(n, *c) for n, c in enumerate(secret_scan.CLASSES, len(base)))
+    line = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o)"
+    return rf"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+    known AS ({known}),
+    candidates AS (
+      SELECT rid, m AS c, place AS c_start FROM ({_matches('d', 'text', secret_scan.CANDIDATE.pattern)})
+      WHERE NOT ({allowed}) AND NOT regexp_matches({before}, {_text(secret_scan.ALLOWED_BEFORE.pattern)})),
+    added AS (
+      SELECT * FROM ({added}) a WHERE NOT EXISTS (
+        SELECT 1 FROM known k WHERE k.rid = a.rid AND k.start <= a.start AND a.stop <= k.stop)),
+    base AS (
+      SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex, {line} AS spans FROM known GROUP BY rid),
+    whole AS (
+      SELECT rid, count(*) AS n_spans, {line} AS spans FROM (SELECT * FROM known UNION ALL SELECT * FROM added) GROUP BY rid)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(base.spans, '')) AS base_sha256, coalesce(whole.spans, '') AS spans, coalesce(n_spans, 0) AS n_spans
+    FROM d LEFT JOIN base USING (rid) LEFT JOIN whole USING (rid)"""
+
+
+def _class(number, kind, characters, width, bits, letters, digits):
+    """Every window of a class's runs by its own counts, then neighbours merged."""
+    units = [secret_scan.entropy_units(c) for c in range(width + 1)]
+    most = round(width * (math.log2(width) - bits) * secret_scan.SCALE)
+    run = characters.pattern.removesuffix("+") + f"{{{width},}}"
+    return f"""
+      SELECT rid, '{kind}' AS kind, {number} AS o, c_start + place + min(i) AS start, c_start + place + max(i) + {width} AS stop
+      FROM (
+        SELECT *, sum(opens) OVER (PARTITION BY rid, c_start, place ORDER BY i) AS part FROM (
+          SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY rid, c_start, place ORDER BY i) + {width} THEN 0 ELSE 1 END AS opens
+          FROM (
+            SELECT *, substr(m, i + 1, {width}) AS w FROM (
+              SELECT *, unnest(range(length(m) - {width} + 1)) AS i FROM ({_matches('candidates', 'c', run)})))
+          WHERE list_sum([{units}[length(w) - length(replace(w, x, '')) + 1] FOR x IN list_distinct(string_split(w, ''))]) <= {most}
+            AND length(regexp_replace(w, '[^A-Za-z]', '', 'g')) >= {letters}
+            AND length(regexp_replace(w, '[^0-9]', '', 'g')) >= {digits}))
+      GROUP BY rid, c_start, place, part"""
+
+
 SQL = {
+    "op1_secret_scan": _secret_scan(),
     "op2_decontamination": _decontamination(),
     "op3_quality_rules": _quality_rules(),
     "op8_warc_bundles": _warc_bundles(),
