@@ -11,12 +11,15 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
 
 #: Labelled rows that a fit reads at most, picked by a hash of the id.
 FIT_ROWS = 20_000
+#: Partitions of the sample during the fit; its many passes are short.
+FIT_PARTITIONS = 4
 TREES = 12
 DEPTH = 3
 LASSO = 0.002
@@ -124,8 +127,12 @@ def tree_rules(described, names):
 
 
 def fit(labelled, label="quality", names=tuple(STATISTICS), trees=TREES, depth=DEPTH, lasso=LASSO):
-    """Fit on rows with the statistics and a 0/1 label; a single class gives a constant score."""
+    """Fit on rows with the statistics and a 0/1 label; a single class gives a constant score.
+
+    ``labelled`` is a bounded sample, as ``labelled_statistics`` gives it.
+    """
     spark = labelled.sparkSession
+    labelled = labelled.coalesce(FIT_PARTITIONS)
     known = {r[0]: r[1] for r in labelled.groupBy(F.col(label).cast("int")).count().collect() if r[0] is not None}
     if len(known) < 2:
         return RuleEnsemble([], {}, 20.0 if 1 in known else -20.0 if 0 in known else 0.0)
@@ -143,9 +150,11 @@ def fit(labelled, label="quality", names=tuple(STATISTICS), trees=TREES, depth=D
         F.col(label).cast("double").alias("_label"),
         F.array(*[r.column() for r in rules], *[F.col(n) for n in names]).alias("_values"),
     ).write.parquet(path)
-    from pyspark.ml.functions import array_to_vector
-
-    inputs = spark.read.parquet(path).select("_label", array_to_vector("_values").alias("_features"))
+    inputs = (
+        spark.read.parquet(path)
+        .coalesce(FIT_PARTITIONS)
+        .select("_label", array_to_vector("_values").alias("_features"))
+    )
     lasso_fit = LogisticRegression(
         featuresCol="_features", labelCol="_label", regParam=lasso, elasticNetParam=1.0, maxIter=100
     ).fit(inputs)
@@ -160,12 +169,15 @@ def fit(labelled, label="quality", names=tuple(STATISTICS), trees=TREES, depth=D
 def labelled_statistics(docs, labels, label="quality", id_col="doc_id", text_col="text", most=FIT_ROWS):
     """Statistics of labelled documents, of at most about ``most`` rows, stored for the fit.
 
-    Rows are picked by a hash of the id with the share that the number of labels allows,
-    so the picked labels have a known bound and may be broadcast.
+    A document counts once, with the lowest of its labels. Documents are picked by a hash
+    of the id with the share that their number allows, so the picked labels have a known
+    bound and may be broadcast.
     """
     spark = docs.sparkSession
-    marks = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_mark")
+    marks = (
+        labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("_id"))
+        .agg(F.min(F.col(label).cast("int")).alias("_mark"))
     )
     n = marks.count()
     if n > most:
