@@ -1,24 +1,23 @@
 """Token counts of a unigram model by dynamic programming over a trie of pre-tokens.
 
-A pre-token is a word with its leading space mark. Each partition inserts its distinct
-pre-tokens into a trie. The best score of a prefix depends on the prefix alone, so it is
-computed once per trie node and shared by all pre-tokens below; a terminal node stores
-the token count of its pre-token. A document's count is the sum over its words.
+A pre-token is a word with its leading space mark. Each worker inserts the distinct
+pre-tokens it meets into a trie. The best score of a prefix depends on the prefix alone,
+so it is computed once per trie node and shared by all pre-tokens below; a terminal node
+stores the token count of its pre-token. A document's count is the sum over its words.
 
 The vocabulary is a public file given by path; its pieces are ordered by merge, and the
 score of a piece is the log of a Zipf share of that order. Nothing is trained.
 """
 
 import math
-from collections import Counter
 
 from pyspark.sql import functions as F
 
 from .rows import map_slices, texts_of
 
 SPACE = "▁"
-#: Trie nodes a task keeps; beyond it the trie starts anew, which changes no count.
-MOST_NODES = 1_000_000
+#: Trie nodes a worker keeps; beyond it the trie starts anew, which changes no count.
+MOST_NODES = 1_500_000
 
 
 def piece_scores(path):
@@ -37,7 +36,10 @@ def piece_scores(path):
 
 
 class CountingTrie:
-    """Nodes hold the best score and token count of their prefix, and a terminal mark."""
+    """Nodes hold the best score and token count of their prefix; terminals the counts of words.
+
+    A child is found by its parent's number and its character, packed into one key.
+    """
 
     def __init__(self, scores, byte_score):
         self.scores, self.byte_score = scores, byte_score
@@ -45,18 +47,16 @@ class CountingTrie:
         self.clear()
 
     def clear(self):
-        self.children, self.best, self.tokens = [{}], [0.0], [0]
-        self.terminals = {}
+        self.children, self.best, self.tokens, self.terminals = {}, [0.0], [0], {}
 
-    def _extend(self, path, prefix):
-        """Best segmentation of ``prefix``, whose shorter prefixes are the nodes of ``path``."""
-        end = len(prefix)
-        size = len(prefix[-1].encode("utf-8", "surrogatepass"))
+    def _extend(self, path, text, end):
+        """Best segmentation of text[:end], whose shorter prefixes are the nodes of ``path``."""
+        size = len(text[end - 1].encode("utf-8", "surrogatepass"))
         score = self.best[path[-1]] + size * self.byte_score
         tokens = self.tokens[path[-1]] + size
         get = self.scores.get
         for start in range(max(0, end - self.longest), end):
-            own = get(prefix[start:])
+            own = get(text[start:end])
             if own is not None:
                 node = path[start]
                 reached, count = self.best[node] + own, self.tokens[node] + 1
@@ -65,21 +65,19 @@ class CountingTrie:
         return score, tokens
 
     def count(self, word):
-        """Tokens of a pre-token; inserted at its first use."""
+        """Tokens of a word behind its space mark; inserted at its first use."""
         known = self.terminals.get(word)
         if known is not None:
             return known
         if len(self.best) > MOST_NODES:
             self.clear()
-        node, path = 0, [0]
-        for i, ch in enumerate(word):
-            below = self.children[node]
-            following = below.get(ch)
+        node, path, text = 0, [0], SPACE + word
+        for end, ch in enumerate(text, 1):
+            key = node << 21 | ord(ch)
+            following = self.children.get(key)
             if following is None:
-                score, tokens = self._extend(path, word[: i + 1])
-                following = len(self.best)
-                below[ch] = following
-                self.children.append({})
+                score, tokens = self._extend(path, text, end)
+                following = self.children[key] = len(self.best)
                 self.best.append(score)
                 self.tokens.append(tokens)
             node = following
@@ -87,8 +85,22 @@ class CountingTrie:
         self.terminals[word] = self.tokens[node]
         return self.tokens[node]
 
+    def total(self, words):
+        """Tokens of all words of a text; only new words are walked through the trie."""
+        found = [*map(self.terminals.get, words)]
+        if None in found:
+            found = [self.count(w) if n is None else n for n, w in zip(found, words)]
+        return sum(found)
+
+
+_TRIES = {}
+
 
-_SCORES = {}
+def counting_trie(path):
+    """One trie per Python worker, which Spark uses for many tasks."""
+    if path not in _TRIES:
+        _TRIES[path] = CountingTrie(*piece_scores(path))
+    return _TRIES[path]
 
 
 def count_tokens(docs, model_path, id_col="doc_id", text_col="text"):
@@ -99,17 +111,11 @@ def count_tokens(docs, model_path, id_col="doc_id", text_col="text"):
     """
 
     def work(slices):
-        if model_path not in _SCORES:
-            _SCORES[model_path] = piece_scores(model_path)
-        trie = CountingTrie(*_SCORES[model_path])
+        trie = counting_trie(model_path)
         for batch in slices:
             ids, texts = texts_of(batch, 0, 1)
-            words = [Counter(t.split()) for t in texts]
-            yield {
-                "doc_id": ids,
-                "n_pretokens": [sum(w.values()) for w in words],
-                "n_tokens": [sum(n * trie.count(SPACE + w) for w, n in c.items()) for c in words],
-            }
+            words = [t.split() for t in texts]
+            yield {"doc_id": ids, "n_pretokens": [*map(len, words)], "n_tokens": [*map(trie.total, words)]}
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_slices(docs.select(F.col(id_col), F.col(text_col)), work, f"doc_id {kind}, n_pretokens long, n_tokens long")

@@ -36,10 +36,11 @@ def test_counts_equal_forward_scores_of_each_word(spark, scores, odd_docs, no_do
 
 
 def test_a_full_trie_starts_anew(scores, monkeypatch):
-    words = [t.SPACE + w for w in "alpha alphabet beta better alpine 中文 alpha".split()]
+    words = "alpha alphabet beta better alpine 中文 alpha".split()
     whole = t.CountingTrie(*scores)
     want = [whole.count(w) for w in words]
     monkeypatch.setattr(t, "MOST_NODES", 3)
     small = t.CountingTrie(*scores)
     assert [small.count(w) for w in words] == want
     assert len(small.best) < len(whole.best)
+    assert small.total(words) == whole.total(words) == sum(want)
