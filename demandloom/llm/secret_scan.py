@@ -6,6 +6,10 @@ entropy follows from counts that change by one character in and one out, and the
 windows above the class's limit are merged into spans. Spans that an allow-list knows
 (UUIDs, checksums, data URLs, plain words joined by separators) are suppressed; spans
 inside a pattern's span are that span already. Pattern spans are never suppressed.
+
+The SQL twin of the scan fixes these spans. They miss keys with few digits, so masking
+looks further: it also takes candidates that change between letters, cases and digits
+more often than words do, and knows plain words by their case.
 """
 
 import hashlib
@@ -49,6 +53,12 @@ ALLOWED = (
 ALLOWED_BEFORE = re.compile(r"(?i:(?:sha-?(?:1|224|256|384|512)|md5|crc32|checksum|etag)[\"']?[ ]*[:=@][ ]*[\"']?|;base64,)$")
 BEFORE_CHARS = 24
 
+#: Masking lets only words of one case, or with small letters after each capital, pass as plain.
+WORD = r"(?:[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*|[0-9]+)"
+PLAIN = (ALLOWED[0], re.compile(rf"{WORD}(?:[-_/=+]+{WORD})*[-_/=+]*"), ALLOWED[2])
+#: Window, least entropy and letters in it, and least changes of class in it, for masking.
+MIXED = (20, 3.4, 4, 4)
+
 SCALE = 1 << 32
 
 
@@ -84,9 +94,9 @@ def hot_windows(run, width, least_bits, least_letters, least_digits):
     return merged
 
 
-def allowed(text, start, end):
+def allowed(text, start, end, patterns=ALLOWED):
     candidate = text[start:end]
-    if any(p.fullmatch(candidate) for p in ALLOWED):
+    if any(p.fullmatch(candidate) for p in patterns):
         return True
     return ALLOWED_BEFORE.search(text[max(0, start - BEFORE_CHARS) : start]) is not None
 
@@ -158,13 +168,50 @@ def scan_secrets(docs, id_col="doc_id", text_col="text"):
     )
 
 
+def _class_of(ch):
+    return "0" if ch.isdigit() else "a" if ch.islower() else "A" if ch.isupper() else ""
+
+
+def mixed(run):
+    """Whether a hot window of ``run`` changes its class as often as random keys do.
+
+    A small letter after a capital is no change, nor is one beside a separator.
+    """
+    width, bits, letters, least = MIXED
+    kinds = [_class_of(ch) for ch in run]
+    changes = [bool(a and b) and a != b and a + b != "Aa" for a, b in zip(kinds, kinds[1:])]
+    for start, end in hot_windows(run, width, bits, letters, 0):
+        inside = sum(changes[start : start + width - 1])
+        if inside >= least:
+            return True
+        for i in range(start, end - width):
+            inside += changes[i + width - 1] - changes[i]
+            if inside >= least:
+                return True
+    return False
+
+
+def mask_spans(text):
+    """Merged (start, end) of what masking takes: all spans, and candidates mixed like keys."""
+    taken = [(start, end) for _, start, end in spans_of(text)[0]]
+    for candidate in CANDIDATE.finditer(text):
+        if not allowed(text, *candidate.span(), PLAIN) and mixed(candidate[0]):
+            taken.append(candidate.span())
+    merged = []
+    for start, end in sorted(taken):
+        if merged and start < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    return merged
+
+
 def masked(text, mark="[SECRET]"):
-    """The text with every found span, merged where they overlap, replaced by ``mark``."""
+    """The text with every span of ``mask_spans`` replaced by ``mark``."""
     out, at = [], 0
-    for _, start, end in spans_of(text)[0]:
-        if start >= at:
-            out += [text[at:start], mark]
-        at = max(at, end)
+    for start, end in mask_spans(text):
+        out += [text[at:start], mark]
+        at = end
     return "".join(out) + text[at:] if out else text
 
 

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import string
 from collections import Counter
 
 from demandloom.llm import secret_scan as s
@@ -75,3 +76,24 @@ def test_masking_removes_every_span(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, odd_docs.collect()))
     assert s.mask_secrets(no_docs).count() == s.scan_secrets(no_docs).count() == 0
     assert s.scan_secrets(odd_docs).count() == odd_docs.count()
+
+
+ALNUM = string.ascii_letters + string.digits
+
+
+def random_keys(letters, size, n=500):
+    rng = random.Random(size)
+    return ["".join(rng.choice(letters) for _ in range(size)) for _ in range(n)]
+
+
+def test_masking_finds_random_keys_and_spares_words():
+    for letters in (ALNUM + "+/", ALNUM + "-_", ALNUM):
+        for size in (20, 24, 32, 40, 64):
+            found = sum("[SECRET]" in s.masked(f"see {key} here") for key in random_keys(letters, size))
+            assert found >= (485 if size == 20 else 495), (letters, size, found)
+    for plain in (
+        "see getElementsByTagName and internationalization_of_things/2020-01-02 or SOME_LONG_CONSTANT_NAME here",
+        "123e4567-e89b-12d3-a456-426614174000 sha256: q7Zr2LmX9vB4tK8sW1yD Donaudampfschifffahrtsgesellschaft",
+        "path/to/SomeModule/anotherFileName Kraftfahrzeug-Haftpflichtversicherung Windows10HomeEdition",
+    ):
+        assert s.masked(plain) == plain
