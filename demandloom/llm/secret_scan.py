@@ -192,11 +192,19 @@ def mixed(run):
 
 
 def mask_spans(text):
-    """Merged (start, end) of what masking takes: all spans, and candidates mixed like keys."""
-    taken = [(start, end) for _, start, end in spans_of(text)[0]]
+    """Merged (start, end) of what masking takes: all spans, and candidates mixed like keys.
+
+    A key is hot in places only, so a span takes the whole candidate around it. An
+    assignment holds its whole value already and leaves what stands before it.
+    """
+    spans = spans_of(text)[0]
+    taken = [(start, end) for kind, start, end in spans if kind == "assign"]
+    found = [(start, end) for kind, start, end in spans if kind != "assign"]
     for candidate in CANDIDATE.finditer(text):
-        if not allowed(text, *candidate.span(), PLAIN) and mixed(candidate[0]):
-            taken.append(candidate.span())
+        first, last = candidate.span()
+        hot = any(first <= start and end <= last for start, end in found)
+        if hot or not allowed(text, first, last, PLAIN) and mixed(candidate[0]):
+            taken.append((first, last))
     merged = []
     for start, end in sorted(taken):
         if merged and start < merged[-1][1]:
