@@ -6,7 +6,10 @@ The others have none: DuckDB has no crc32, XXH64, tokenizer or model fit. They a
 import math
 
 from . import secret_scan
+from .filter_audit import CAPITAL_SHARE, DISTINCT_SHARE, LEAST_WORDS
 from .quality_rules import BASE_RULES, DISTINCT_BASE, MARKS, RULES, STOP_WORDS, SYMBOLS, any_of
+from .url_filter import BLOCKED_WORDS, RULES as URL_RULES
+from .vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
 
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -183,9 +186,118 @@ def _class(number, kind, characters, width, bits, letters, digits):
       GROUP BY rid, c_start, place, part"""
 
 
+def _url_filters():
+    """Every rule tried on every url by its host and path, the longest that fits first."""
+    tries = []
+    for verdict, rule in sorted(URL_RULES, key=lambda r: (-len(r[1]), -len(r[1].split("/")[0]), r[0] != "block")):
+        host, path = rule.split("/", 1)[0], rule[len(rule.split("/", 1)[0]) :]
+        tries.append(
+            f"WHEN (host = {_text(host)} OR ends_with(host, {_text('.' + host)})) AND starts_with(path, {_text(path)}) "
+            f"THEN {{'rule': {_text(rule)}, 'verdict': {_text(verdict)}}}"
+        )
+    listed = ", ".join(_text(w) for w in sorted(BLOCKED_WORDS, key=lambda w: (len(w), w), reverse=True))
+    return rf"""
+    SELECT page_id, host, path, hit.rule AS rule,
+           coalesce(hit.verdict, CASE WHEN word IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+           CASE WHEN hit IS NULL THEN word END AS blocked_word
+    FROM (SELECT *, CASE {' '.join(tries)} END AS hit,
+                 [x FOR x IN [{listed}] IF list_contains(string_split_regex(host, '[^a-z0-9]+'), x)][1] AS word
+          FROM (SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
+                       coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages))"""
+
+
+def _vector_codes():
+    """Every part against every entry, round by round."""
+    width = "(SELECT len(v) FROM vectors ORDER BY vec_id NULLS LAST, v LIMIT 1)"
+    steps = []
+    for r in range(ROUNDS + 1):
+        steps.append(f"""
+    assigned{r} AS (
+      SELECT rid, part, min(far) AS far, arg_min(entry, (far, entry)) AS entry, any_value(p) AS p
+      FROM (SELECT rid, part, entry, parts.p AS p,
+                   list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(parts.p, books{r}.p)]) AS far
+            FROM parts JOIN books{r} USING (part)) GROUP BY rid, part)""")
+        if r < ROUNDS:
+            steps.append(f"""
+    means{r} AS (
+      SELECT part, entry, list(m ORDER BY i) AS m FROM (
+        SELECT part, entry, i, CAST(floor(sum(x) / count(*)) AS BIGINT) AS m
+        FROM (SELECT part, entry, unnest(p) AS x, unnest(range(len(p))) AS i FROM assigned{r}) GROUP BY part, entry, i)
+      GROUP BY part, entry),
+    books{r + 1} AS (SELECT part, entry, coalesce(m, p) AS p FROM books{r} LEFT JOIN means{r} USING (part, entry))""")
+    last = f"assigned{ROUNDS}"
+    return rf"""
+    WITH vectors AS (
+      SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label,
+             [CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+      FROM embeddings
+      WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    parts AS (
+      SELECT rid, part, v[part * len(v) // {PARTS} + 1:(part + 1) * len(v) // {PARTS}] AS p
+      FROM vectors, (SELECT unnest(range({PARTS})) AS part) WHERE len(v) = {width}),
+    books0 AS (SELECT part, dense_rank() OVER (ORDER BY rid) - 1 AS entry, p FROM parts QUALIFY entry < {ENTRIES}),
+    {','.join(steps)},
+    digest AS (
+      SELECT sha256(string_agg(array_to_string(p, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM books{ROUNDS}),
+    coded AS (
+      SELECT rid, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error
+      FROM {last} GROUP BY rid)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM coded JOIN vectors USING (rid), digest"""
+
+
+def _filter_audit():
+    """Each order walked through step by step over the counts per mask."""
+    fails = (
+        f"len(words) < {LEAST_WORDS}",
+        f"100 * len(list_distinct(words)) < {DISTINCT_SHARE} * len(words)",
+        f"100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > {CAPITAL_SHARE} * length(text)",
+        "regexp_matches(text, '[#$%&*|]')",
+        "coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)",
+    )
+    bits = " + ".join(f"CASE WHEN {f} THEN {1 << k} ELSE 0 END" for k, f in enumerate(fails))
+    order = "a.f || b.f || c.f || d.f || e.f"
+    bit = "(1 << (ascii(filter) - 65))"
+    before = " + ".join(f"CASE WHEN contains(earlier, '{f}') THEN {1 << k} ELSE 0 END" for k, f in enumerate("ABCDE"))
+    return rf"""
+    WITH marked AS (
+      SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    masked AS (
+      SELECT doc_id, part, {bits} AS mask
+      FROM (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                   [x FOR x IN string_split_regex(coalesce(text, ''), '{GAP}') IF x <> ''] AS words FROM documents)),
+    counts AS (
+      SELECT part, mask, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic
+      FROM masked LEFT JOIN marked USING (doc_id) GROUP BY part, mask),
+    f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+    orders AS (
+      SELECT {order} AS filter_order FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct(string_split({order}, ''))) = 5),
+    steps AS (
+      SELECT filter_order, step, substr(filter_order, step, 1) AS filter, substr(filter_order, 1, step - 1) AS earlier
+      FROM orders, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step)),
+    walked AS (
+      SELECT part, filter_order, step, filter, n, good, toxic, mask, (mask & {bit}) <> 0 AS fails,
+             (mask & ({before})) <> 0 AS gone
+      FROM counts, steps),
+    summed AS (
+      SELECT part, filter_order, step, filter,
+             CAST(coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0) AS BIGINT) AS kept,
+             CAST(coalesce(sum(n) FILTER (NOT gone AND fails), 0) AS BIGINT) AS removed,
+             CAST(coalesce(sum(n) FILTER (gone AND fails), 0) AS BIGINT) AS redundant,
+             CAST(coalesce(sum(n) FILTER (mask = {bit}), 0) AS BIGINT) AS unique_fails,
+             CAST(coalesce(sum(good) FILTER (NOT gone AND fails), 0) AS BIGINT) AS good_lost,
+             CAST(coalesce(sum(toxic) FILTER (NOT gone AND fails), 0) AS BIGINT) AS toxic_lost
+      FROM walked GROUP BY part, filter_order, step, filter)
+    SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM summed"""
+
+
 SQL = {
     "op1_secret_scan": _secret_scan(),
     "op2_decontamination": _decontamination(),
     "op3_quality_rules": _quality_rules(),
     "op8_warc_bundles": _warc_bundles(),
+    "op11_url_filters": _url_filters(),
+    "op12_vector_codes": _vector_codes(),
+    "op13_filter_audit": _filter_audit(),
 }

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontamination,
+    filter_audit,
     language_id,
     packing,
     quality_rules,
@@ -13,6 +14,8 @@ from . import (
     sharding,
     simhash,
     token_counts,
+    url_filter,
+    vector_codes,
     warc_bundles,
 )
 from .rows import fold
@@ -74,6 +77,19 @@ def op10_language_id(spark, d):
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_url_filters(spark, d):
+    return url_filter.judge_urls(table(spark, d, "pages"))
+
+
+def op12_vector_codes(spark, d):
+    found = vector_codes.compress(table(spark, d, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_filter_audit(spark, d):
+    return filter_audit.audit_filters(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -87,5 +103,8 @@ QUERIES = {
         op8_warc_bundles,
         op9_simhash,
         op10_language_id,
+        op11_url_filters,
+        op12_vector_codes,
+        op13_filter_audit,
     )
 }
