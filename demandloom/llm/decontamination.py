@@ -6,24 +6,31 @@ long enough for a window; other words end a run. All windows are searched backwa
 at once, their occurrences located from sampled places, and spans merged per document.
 No document leaves its task, so copies and hot sources cost no more than other rows.
 
-The benchmark is the stated query set. It is read in blocks of bounded size; each block
-is broadcast for one pass over the documents, which hands its spans to the next pass.
+The benchmark is the stated query set. Items with equal texts are one phrase with several
+names; phrases are read in blocks of bounded size, and each block is broadcast for one
+pass over the documents, which hands its spans to the next pass. Texts are cut only when
+all blocks have been searched, and cut texts are searched again by all blocks, so results
+are the same for any block size.
 """
 
 import re
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ordered import stored_in_order, with_running
 from ..session import shared_folder
 from .fm_index import FMIndex
 from .rows import map_slices
 
 WINDOW = 10
-#: Words in a shard's index are at most these plus one document.
+#: Words in a shard's index are at most these plus one slice of documents.
 SHARD_WORDS = 1_500_000
-#: UTF-8 bytes of benchmark text in one broadcast.
+#: UTF-8 bytes of benchmark texts and names in one broadcast, plus those of one text at most.
 BLOCK_BYTES = 16 << 20
 
 # The word pattern of the contract, as characters of a text and as a table over UTF-8 bytes.
@@ -43,15 +50,15 @@ def word_places(text):
 
 
 class Phrases:
-    """The windows of a block of items: symbols of words, and by length a matrix of windows."""
+    """The windows of a block of (names, text): symbols of words, and by length a matrix of windows."""
 
     def __init__(self, items, window):
         self.symbols, found = {}, {}
-        for item, text in items:
-            ids = [self.symbols.setdefault(w, len(self.symbols) + 1) for w in words_of(text or "")]
+        for names, text in items:
+            ids = [self.symbols.setdefault(w, len(self.symbols) + 1) for w in words_of(text)]
             size = min(window, len(ids))
             for k in range(len(ids) - size + 1 if ids else 0):
-                found.setdefault(size, {}).setdefault(tuple(ids[k : k + size]), set()).add(str(item))
+                found.setdefault(size, {}).setdefault(tuple(ids[k : k + size]), set()).update(names)
         self.by_length = {
             size: (np.array(list(windows), dtype=np.int64), [sorted(s) for s in windows.values()])
             for size, windows in found.items()
@@ -149,65 +156,86 @@ def shards(slices, words=SHARD_WORDS):
 
 
 def phrase_blocks(benchmark, item_col, text_col, block_bytes):
-    """The benchmark's rows in lists of bounded size, one after the other."""
-    rows = benchmark.select(item_col, text_col).where(F.col(text_col).isNotNull())
-    size = rows.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
-    n = max(1, -(-int(size) // block_bytes))
-    for k in range(n):
-        block = rows if n == 1 else rows.where(F.pmod(F.xxhash64(text_col), F.lit(n)) == k)
-        yield k, n, block.collect()
-
-
-def _passes(docs, benchmark, step, item_col, item_text_col, window, block_bytes):
-    """Apply ``step(frame, phrases)`` once per block, storing the frame between blocks."""
-    spark = docs.sparkSession
-    for k, n, items in phrase_blocks(benchmark, item_col, item_text_col, block_bytes):
-        phrases = spark.sparkContext.broadcast(Phrases(items, window))
-        docs = step(docs, phrases)
-        if k + 1 < n:
-            path = shared_folder(spark, "decontamination")
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+    """(names, text) of all items in blocks, as functions that fetch one block each.
+
+    Running sizes place the phrases, so no block holds more than ``block_bytes`` and one
+    phrase. A null text has no windows; a null id is the empty name.
+    """
+    name = F.coalesce(F.col(item_col).cast("string"), F.lit(""))
+    rows = (
+        benchmark.select(name.alias("name"), F.col(text_col).alias("text"))
+        .where("text is not null")
+        .groupBy("text")
+        .agg(F.sort_array(F.collect_set("name")).alias("names"))
+        .withColumn("size", F.octet_length("text") + F.octet_length(F.array_join("names", ",")))
+    )
+    stored = stored_in_order(rows, "text")
+    total = stored.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    if total <= block_bytes:
+        return [lambda: [(r["names"], r["text"]) for r in stored.collect()]]
+    placed = with_running(stored, ["text"], ["size"]).withColumn("block", F.floor(F.col("_before_size") / block_bytes))
+    numbers = [r[0] for r in placed.select("block").distinct().orderBy("block").collect()]
+    return [lambda k=k: [(r["names"], r["text"]) for r in placed.where(F.col("block") == k).collect()] for k in numbers]
+
+
+def _stored(frame):
+    path = shared_folder(frame.sparkSession, "decontamination")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
 
 
 SPAN_DDL = "n_words long, word_spans array<struct<start: int, end: int>>, items array<string>"
 
 
-def contamination_spans(
-    docs, benchmark, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text",
-    window=WINDOW, block_bytes=BLOCK_BYTES,
-):
-    """One row per document: doc_id, n_words, merged word spans of windows, items found.
+def _searched(frame, blocks, window, columns, store=True):
+    """``frame`` with the words, merged spans and names found by all blocks.
 
-    A null text has no words, a null item text no windows. Repeated rows stay repeated.
-    Other columns of either table are not read.
+    ``frame`` has a column ``text`` and those of ``columns``, a schema text, which pass unchanged.
+    The frame is stored between blocks, and behind the last one if ``store``.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    context = frame.sparkSession.sparkContext
 
     def step(frame, phrases):
         def work(slices):
             for held in shards(slices):
-                texts = [t or "" for b in held for t in b.column("_text").to_pylist()]
+                texts = [t or "" for b in held for t in b.column("text").to_pylist()]
                 sizes, spans, items = shard_hits(texts, phrases.value)
-                ids = [v for b in held for v in b.column("doc_id").to_pylist()]
                 if "items" in held[0].schema.names:
                     old_spans = [v for b in held for v in b.column("word_spans").to_pylist()]
                     old_items = [v for b in held for v in b.column("items").to_pylist()]
-                    spans = [merged([*s, *((o["start"], o["end"]) for o in old)]) for s, old in zip(spans, old_spans)]
+                    spans = [merged([*map(tuple, s), *((o["start"], o["end"]) for o in old)]) for s, old in zip(spans, old_spans)]
                     items = [i.union(old) for i, old in zip(items, old_items)]
+                table = pa.Table.from_batches(held)
                 yield {
-                    "doc_id": ids,
-                    "_text": texts,
+                    **{c: table[c].combine_chunks() for c in passed},
                     "n_words": sizes,
                     "word_spans": [[{"start": a, "end": b} for a, b in s] for s in spans],
                     "items": [sorted(i) for i in items],
                 }
 
-        return map_slices(frame, work, f"doc_id {kind}, _text string, {SPAN_DDL}")
+        passed = [c for c in frame.columns if c not in ("n_words", "word_spans", "items")]
+        return map_slices(frame, work, f"{columns}, text string, {SPAN_DDL}")
+
+    for k, block in enumerate(blocks):
+        frame = step(frame, context.broadcast(Phrases(block(), window)))
+        if store or k + 1 < len(blocks):
+            frame = _stored(frame)
+    return frame
+
+
+def contamination_spans(
+    docs, benchmark, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text",
+    window=WINDOW, block_bytes=BLOCK_BYTES,
+):
+    """One row per document: doc_id, n_words, merged word spans of windows, items found.
 
-    frame = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    return _passes(frame, benchmark, step, item_col, item_text_col, window, block_bytes).drop("_text")
+    A null text has no words, a null item text no windows, a null item id is the empty
+    name. Repeated rows stay repeated. Other columns of either table are not read.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    frame = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    blocks = phrase_blocks(benchmark, item_col, item_text_col, block_bytes)
+    return _searched(frame, blocks, window, f"doc_id {kind}", store=False).drop("text")
 
 
 def remove_contamination(
@@ -215,29 +243,70 @@ def remove_contamination(
 ):
     """``docs`` without the benchmark's windows; documents left without a word go.
 
-    A removal can bring the ends of a window together, so a text is searched again until
-    nothing is found. Null texts and texts without a hit stay as they are.
+    A removal can bring the ends of a window together. All windows found in a text are cut
+    at once, and cut texts are searched again for the whole benchmark until nothing is found,
+    so the result hangs neither on the size nor on the order of blocks. Null texts and texts
+    without a hit stay as they are; null item texts and items without a word cut nothing;
+    repeated rows are cut each for itself; other columns pass unchanged.
     """
+    others = [f for f in docs.schema if f.name != text_col]
+    row = F.struct(*[F.col(f"`{f.name}`") for f in others], F.lit(0).alias("_one"))
+    frame = docs.select(row.alias("row"), F.col(text_col).alias("text"))
+    columns = f"row {frame.schema['row'].dataType.simpleString()}"
+    blocks = phrase_blocks(benchmark, item_col, item_text_col, block_bytes)
+    if len(blocks) == 1:
+        rounds = [_cut_to_the_end(frame, docs.sparkSession.sparkContext.broadcast(Phrases(blocks[0](), window)), columns)]
+    else:
+        rounds = []
+        while True:
+            found = _searched(frame, blocks, window, columns)
+            rounds.append(found.where(F.size("word_spans") == 0).select("row", "text"))
+            frame = _stored(_cut(found.where(F.size("word_spans") > 0), columns))
+            if frame.isEmpty():
+                break
+    kept = reduce(DataFrame.union, rounds)
+    return kept.select(
+        *[(F.col("text") if f.name == text_col else F.col("row").getField(f.name)).alias(f.name) for f in docs.schema]
+    )
 
-    def step(frame, phrases):
-        def work(slices):
-            for held in shards(slices):
-                columns = {c: [v for b in held for v in b.column(c).to_pylist()] for c in held[0].schema.names}
-                texts, todo = columns[text_col], list(range(len(columns[text_col])))
-                gone = set()
-                while todo:
-                    _, spans, _ = shard_hits([texts[i] or "" for i in todo], phrases.value)
-                    todo = [(i, s) for i, s in zip(todo, spans) if s]
-                    for i, s in todo:
-                        texts[i] = removed(texts[i], s)
-                        if not words_of(texts[i]):
-                            gone.add(i)
-                    todo = [i for i, _ in todo if i not in gone]
-                yield {c: [v for i, v in enumerate(vs) if i not in gone] for c, vs in columns.items()}
-
-        return map_slices(frame, work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema))
-
-    return _passes(docs, benchmark, step, item_col, item_text_col, window, block_bytes)
+
+def _kept_rows(held, texts, gone):
+    """Rows of some slices with new texts, without those whose places are in ``gone``."""
+    row = pa.Table.from_batches(held)["row"].combine_chunks()
+    left = [i for i in range(len(texts)) if i not in gone]
+    return {"row": row.take(pa.array(left, type=pa.int64())), "text": [texts[i] for i in left]}
+
+
+def _cut(found, columns):
+    """One cut of every text by its spans."""
+
+    def work(slices):
+        for batch in slices:
+            spans = [[(s["start"], s["end"]) for s in own] for own in batch.column("word_spans").to_pylist()]
+            texts = [*map(removed, batch.column("text").to_pylist(), spans)]
+            yield _kept_rows([batch], texts, {i for i, t in enumerate(texts) if not words_of(t)})
+
+    return map_slices(found.select("row", "text", "word_spans"), work, f"{columns}, text string")
+
+
+def _cut_to_the_end(frame, phrases, columns):
+    """All cuts of every text in one pass, where one block holds the whole benchmark."""
+
+    def work(slices):
+        for held in shards(slices):
+            texts = [t for b in held for t in b.column("text").to_pylist()]
+            todo, gone = list(range(len(texts))), set()
+            while todo:
+                _, spans, _ = shard_hits([texts[i] or "" for i in todo], phrases.value)
+                todo = [(i, s) for i, s in zip(todo, spans) if s]
+                for i, s in todo:
+                    texts[i] = removed(texts[i], s)
+                    if not words_of(texts[i]):
+                        gone.add(i)
+                todo = [i for i, _ in todo if i not in gone]
+            yield _kept_rows(held, texts, gone)
+
+    return map_slices(frame, work, f"{columns}, text string")
 
 
 def contamination_digest(spans):
