@@ -1,15 +1,16 @@
 """Shards of nearly equal bytes by sampled splitters.
 
 Each record has a place on a line of 64-bit keys: the hash of its text, then a few bits
-of a hash of its id, so equal texts are neighbours. A size-weighted sample of keys gives
+of a hash of its id and row number, so equal texts are neighbours. The row number is stored
+with the record; it alone tells repeated rows, or rows without an id, apart. A size-weighted sample of keys gives
 quantile boundaries of many small ranges. A group of equal texts stays whole unless the
 sample shows it to hold more than a set share of a shard; only then do boundaries cut it.
 The ranges are measured over all records, overfull ones are subdivided, and the pieces
 are laid into shards, the largest first, always into the emptiest shard.
 
 Only the sample, the boundaries and one count per piece reach the driver. Their number
-is set by parameters, not by the documents. Slots are numbered in parts of bounded rows.
-Text is read once; everything later works on a stored table of ids and sizes.
+is set by parameters, not by the documents. Slots are numbered in parts of bounded rows,
+whose starts are running sums inside Spark. Text is read once; everything later works on a stored table of ids and sizes.
 """
 
 import heapq
@@ -37,14 +38,20 @@ ID_BITS = 20
 
 
 def keyed_records(docs, id_col="doc_id", text_col="text"):
-    """doc_id, size, text_crc32 and the place on the key line, as narrow rows."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    group = F.xxhash64(text).bitwiseAND(F.lit(-(1 << ID_BITS)))
-    own = F.xxhash64(F.col(id_col).cast("string"), F.lit("id")).bitwiseAND(F.lit((1 << ID_BITS) - 1))
-    return docs.select(
-        F.col(id_col).alias("doc_id"),
-        (F.octet_length(text) + RECORD_BYTES).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
+    """doc_id, size, text_crc32, a row number and the place on the key line, as narrow rows.
+
+    The number hangs on the task that reads a row, so it must be stored before it is used twice.
+    """
+    numbered = docs.select(
+        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_row")
+    )
+    group = F.xxhash64("text").bitwiseAND(F.lit(-(1 << ID_BITS)))
+    own = F.xxhash64(F.col("doc_id").cast("string"), "_row", F.lit("id")).bitwiseAND(F.lit((1 << ID_BITS) - 1))
+    return numbered.select(
+        "doc_id",
+        (F.octet_length("text") + RECORD_BYTES).cast("long").alias("size"),
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+        "_row",
         group.bitwiseOR(own).alias("_key"),
     )
 
@@ -53,12 +60,12 @@ def sampled_boundaries(records, total, n_ranges, group_bytes, per_range=SAMPLES_
     """Range boundaries at quantiles of a sample in which bytes, not rows, are equally likely,
     and the groups of equal texts that hold more than ``group_bytes`` of it.
 
-    The draw depends on the record alone, so a task that runs again draws the same. About
-    ``n_ranges * per_range`` keys come to the driver. A boundary inside any other group is
+    The draw depends on the stored record alone, so a task that runs again draws the same, and
+    every row, repeated or not, is drawn for itself. About ``n_ranges * per_range`` keys come to the driver. A boundary inside any other group is
     moved to the group's start.
     """
     wanted = n_ranges * per_range
-    draw = F.pmod(F.xxhash64("_key", "doc_id", F.lit("draw")), F.lit(1 << 30)) / (1 << 30)
+    draw = F.pmod(F.xxhash64("_row", F.lit("draw")), F.lit(1 << 30)) / (1 << 30)
     sample = records.where(draw * F.lit(float(total)) < F.col("size") * F.lit(float(wanted))).select("_key", "size")
     rows = sample.toArrow()
     if not rows.num_rows:
@@ -86,15 +93,16 @@ def _ranged(records, boundaries):
                 "_range": pa.array(np.searchsorted(boundaries, keys, side="right").astype(np.int32)),
             }
 
-    return map_slices(records, work, f"doc_id {kind}, size long, text_crc32 long, _key long, _range int")
+    return map_slices(records, work, f"doc_id {kind}, size long, text_crc32 long, _row long, _key long, _range int")
 
 
 def place_by_bytes(docs, n_shards=SHARDS, id_col="doc_id", text_col="text", ranges_per_shard=RANGES_PER_SHARD):
     """doc_id, size, text_crc32, law, shard, slot and grown_shard for every row of ``docs``.
 
-    A null text counts as empty, a null id hashes like any value, repeated rows each get
-    a slot of their own, and an empty table gives no rows. The law is ``bytes``, so
-    grown_shard is null.
+    A null text counts as empty, a null id is an id like others, repeated rows are placed
+    each for itself and get slots of their own, an empty table gives no rows, and other
+    columns are not read. The law is ``bytes``, so grown_shard is null. It holds to a few
+    parts in a hundred for any rows smaller than that, repeated ones too.
     """
     spark = docs.sparkSession
     path = shared_folder(spark, "sharding")
@@ -120,13 +128,13 @@ def place_by_bytes(docs, n_shards=SHARDS, id_col="doc_id", text_col="text", rang
     cut = F.broadcast(spark.createDataFrame(cuts, "_range int, _pieces int"))
     known = F.broadcast(spark.createDataFrame([(g, True) for g in large], "_group long, _large boolean"))
     group = F.shiftright("_key", ID_BITS)
-    unit = F.when(F.col("_large"), F.xxhash64("_key", "doc_id", F.lit("piece"))).otherwise(F.xxhash64("_group"))
+    unit = F.when(F.col("_large"), F.xxhash64("_row", F.lit("piece"))).otherwise(F.xxhash64("_group"))
     pieced = (
         ranged.withColumn("_group", group)
         .join(cut, "_range", "left")
         .join(known, "_group", "left")
         .withColumn("_piece", F.coalesce(F.pmod(unit, F.col("_pieces")), F.lit(0)).cast("int"))
-        .select("doc_id", "size", "text_crc32", "_key", "_range", "_piece")
+        .select("doc_id", "size", "text_crc32", "_row", "_key", "_range", "_piece")
     )
 
     held = pieced.groupBy("_range", "_piece").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).toArrow()
@@ -136,19 +144,16 @@ def place_by_bytes(docs, n_shards=SHARDS, id_col="doc_id", text_col="text", rang
         filled, shard = heapq.heappop(shards)
         placed.append((r, p, shard, -(-count // ROWS_PER_PART)))
         heapq.heappush(shards, (filled + size, shard))
-    # At most 2.5 pieces per range, and with their parts a bounded table again.
+    # At most 2.5 pieces per range: a bounded table again.
     where = F.broadcast(spark.createDataFrame(placed, "_range int, _piece int, shard int, _parts int"))
-    part = F.pmod(F.xxhash64("_key", "doc_id", F.lit("part")), F.col("_parts")).cast("int")
+    part = F.pmod(F.xxhash64("_row", F.lit("part")), F.col("_parts")).cast("int")
     spots = ["shard", "_range", "_piece", "_part"]
     parted = pieced.join(where, ["_range", "_piece"]).withColumn("_part", part)
-    counts = sorted(tuple(r) for r in parted.groupBy(*spots).count().collect())
-    starts, before = [], {}
-    for *spot, count in counts:
-        starts.append((*spot, before.get(spot[0], 0)))
-        before[spot[0]] = starts[-1][-1] + count
-    start = F.broadcast(spark.createDataFrame(starts, "shard int, _range int, _piece int, _part int, _start long"))
-    inside = Window.partitionBy(*spots).orderBy("_key", "doc_id")
-    return parted.join(start, spots).select(
+    earlier = Window.partitionBy("shard").orderBy("_range", "_piece", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per ROWS_PER_PART documents: summed in Spark, and joined as their size allows.
+    starts = parted.groupBy(*spots).count().select(*spots, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*spots).orderBy("_key", "_row")
+    return parted.join(starts, spots).select(
         "doc_id",
         "size",
         "text_crc32",
