@@ -1,6 +1,8 @@
 import re
 from itertools import permutations
 
+from pyspark.sql import functions as F
+
 from demandloom.llm import filter_audit as a
 
 
@@ -73,8 +75,7 @@ def test_odd_documents(spark, odd_docs):
     """Null ids, texts and parts, repeated rows, one id with two texts, long texts, clashing columns."""
     more = [(None, "same text the of it again", None, None, 0), (12, "A B" * 40, "en", "", 0), (900, "plain words " * 30, "en", "src", 0)]
     more += [(901, " ".join(f"w{i}" for i in range(60)) + " $", "en", "other", 0), (902, " ".join(f"w{i}" for i in range(60)), "en", "other", 0)] * 3
-    docs = odd_docs.unionByName(spark.createDataFrame([(*r, "x", 1, 2, 3, "k", "t") for r in more], odd_docs.schema))
-    docs = docs.selectExpr("*", "1 as mask", "2 as part", "3 as own", "4 as digest", "5 as n", "6 as _first", "7 as good")
+    docs = odd_docs.unionByName(spark.createDataFrame([(*r, *odd_docs.columns[5:]) for r in more], odd_docs.schema)).withColumn("good", F.lit(1))
     labels = [(12, 1, 0), (12, 0, 1), (900, 1, None), (None, 1, 1), (902, None, 1), (5000, 1, 1), (3, 1, 1)]
     table = spark.createDataFrame([(*r, 0) for r in labels], "doc_id long, quality int, toxic int, mask int")
     rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
