@@ -129,19 +129,24 @@ def _gradients(weights, x, y):
 def training_windows(docs, id_col="doc_id", text_col="text", label_col="lang", most=FIT_DOCS, per_doc=FIT_WINDOWS):
     """Windows and labels of at most about ``most`` documents, evenly over the languages.
 
-    Documents are picked by a hash of id and text with the share that a language's count
-    allows; a picked document gives evenly spread windows. Only these reach the driver.
+    Documents are picked by a hash of id and text with the share that a language's number of
+    different documents allows, and repeated rows are one document: neither one id for many
+    texts nor one row a million times fills or empties a language's share. A picked document
+    gives evenly spread windows. Only these reach the driver.
     """
-    known = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in known.groupBy(label_col).count().collect()}
+    known = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(label_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string"), text_col).alias("doc")
+    )
+    counts = {r[0]: r[1] for r in known.groupBy("lang").agg(F.approx_count_distinct("doc", 0.02)).collect()}
     languages = sorted(counts)
     if not languages:
         return np.zeros((0, WINDOW), dtype=np.uint8), np.zeros(0, dtype=np.int64), []
     share = most / len(languages)
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("fit")), F.lit(1 << 20)) / (1 << 20)
+    draw = F.pmod(F.xxhash64("doc", F.lit("fit")), F.lit(1 << 20)) / (1 << 20)
     wanted = F.lit(False)
     for lang, n in counts.items():
-        wanted = wanted | ((F.col(label_col) == lang) & (draw < min(1.0, share / n)))
+        wanted = wanted | ((F.col("lang") == lang) & (draw < share / max(n, 1)))
+    picked = known.where(wanted).groupBy("lang", "doc").agg(F.first("text").alias("text"))
 
     def work(slices):
         for batch in slices:
@@ -154,7 +159,7 @@ def training_windows(docs, id_col="doc_id", text_col="text", label_col="lang", m
                 out["bytes"] += [rows[i].tobytes() for i in at]
             yield out
 
-    found = map_slices(known.where(wanted).select(label_col, text_col), work, "lang string, bytes binary").toArrow()
+    found = map_slices(picked.select("lang", "text"), work, "lang string, bytes binary").toArrow()
     number = {lang: k for k, lang in enumerate(languages)}
     labels = np.array([number[v] for v in found["lang"].to_pylist()], dtype=np.int64)
     rows = np.frombuffer(b"".join(found["bytes"].to_pylist()), dtype=np.uint8).reshape(-1, WINDOW)

@@ -81,3 +81,14 @@ def test_held_out_accuracy(spark):
     held = docs.where((fold("doc_id", 4) == 2) & docs["lang"].isNotNull()).select("doc_id", "lang")
     joined = held.join(n.identify(docs, net), "doc_id")
     assert joined.where("lang = lang_pred").count() >= 0.95 * joined.count()
+
+
+def test_repeated_rows_and_ids_leave_every_language_its_windows(spark):
+    """A language under three ids, one without ids, and one that is a single row many times."""
+    rows = [(i % 3, f"english text number {i}", "en") for i in range(5000)] + [(None, f"deutscher satz {i}", "de") for i in range(5000)]
+    rows += [(9, "une seule ligne", "fr")] * 5000 + [(100 + i, f"linea numero {i}", "es") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    windows, labels, languages = n.training_windows(docs, most=400)
+    counts = dict(zip(languages, np.bincount(labels)))
+    assert counts["fr"] == 1 and counts["es"] == 40
+    assert 60 <= counts["en"] <= 150 and 60 <= counts["de"] <= 150
