@@ -26,8 +26,12 @@ DEPTH = 3
 #: A block ends when its remainders reach either bound.
 BLOCK_TOKENS = 4_000_000
 BLOCK_DOCS = 100_000
-#: Pieces whose ids a worker keeps.
-CACHE = 500_000
+#: Bytes that a worker's kept pieces and their ids take at most; beyond it the cache starts anew.
+CACHE_BYTES = 64 << 20
+#: Longer pieces are seldom met again and not kept.
+CACHED_LENGTH = 64
+#: Bytes that an entry takes besides its texts, roughly.
+ENTRY_BYTES = 200
 
 # Letters and marks for which lower case, composition and the parting into pre-tokens are plain.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)")
@@ -54,40 +58,48 @@ class CachedTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
-        self.pieces, self.parts = {"": b""}, {}
+        self.clear()
+
+    def clear(self):
+        self.pieces, self.parts, self.held = {"": b""}, {}, 0
+
+    def _keep(self, cache, text, ids):
+        if len(text) <= CACHED_LENGTH:
+            self.held += 4 * len(text) + len(ids) + ENTRY_BYTES
+            cache[text] = ids
 
     def _part(self, text):
         known = self.parts.get(text)
         if known is None:
             shown = "".join(map(self.letters.__getitem__, text.encode("utf-8")))
             known = np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
-            self.parts[text] = known
+            self._keep(self.parts, text, known)
         return known
 
     def _learn(self, missing):
-        if len(self.pieces) > CACHE:
-            self.pieces, self.parts = {"": b""}, {}
-        odd = []
+        """Ids of pieces that are not kept; the short ones are from now on."""
+        if self.held > CACHE_BYTES:
+            self.clear()
+        found, odd = {"": b""}, []
         for piece in missing:
             m = PLAIN.fullmatch(piece)
             if m is None:
                 odd.append(piece)
             else:
-                self.pieces[piece] = self._part(m[1].lower()) + (self._part(m[2]) if m[2] else b"")
+                found[piece] = self._part(m[1].lower()) + (self._part(m[2]) if m[2] else b"")
         if odd:
             for piece, e in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
-                self.pieces[piece] = np.array(e.ids, dtype="<u4").tobytes()
+                found[piece] = np.array(e.ids, dtype="<u4").tobytes()
+        for piece in missing:
+            self._keep(self.pieces, piece, found[piece])
+        return found
 
     def ids(self, text):
         pieces = text.replace("\n", " ").split(" ")
         found = [*map(self.pieces.get, pieces)]
         if None in found:
-            missing = {p for p, f in zip(pieces, found) if f is None}
-            self._learn(missing)
-            found = [f if f is not None else self.pieces.get(p) for p, f in zip(pieces, found)]
-            if None in found:  # the cache started anew
-                self._learn({p for p, f in zip(pieces, found) if f is None})
-                found = [f if f is not None else self.pieces[p] for p, f in zip(pieces, found)]
+            new = self._learn({p for p, f in zip(pieces, found) if f is None})
+            found = [f if f is not None else new[p] for p, f in zip(pieces, found)]
         return b"".join(found)
 
 

@@ -14,7 +14,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def test_cached_ids_equal_the_tokenizer(spark, odd_docs, sf_dir, monkeypatch):
     whole, cached = Tokenizer.from_file(PATH), p.CachedTokenizer(PATH)
-    monkeypatch.setattr(p, "CACHE", 300)
+    monkeypatch.setattr(p, "CACHE_BYTES", 60_000)
     texts = [r["text"] or "" for r in odd_docs.collect()] + [
         r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()
     ]
@@ -82,3 +82,14 @@ def test_query_rows(spark, odd_docs, no_docs):
     assert all(contiguous(s) <= 2048 for s in sequences.values())
     assert p.pack_documents(odd_docs, PATH).where("start = 0").count() == odd_docs.count()
     assert p.pack_documents(no_docs, PATH).count() == 0
+
+
+def test_cache_holds_bounded_bytes():
+    """Whole paragraphs without a blank are no pieces worth keeping."""
+    cached, rng = p.CachedTokenizer(PATH), random.Random(1)
+    for _ in range(300):
+        cached.ids("".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(500)) + " ab")
+    assert len(cached.pieces) < 10 and cached.held < 5_000
+    for k in range(3):
+        cached.ids(" ".join(f"w{k}x{i}" for i in range(200_000)))
+    assert cached.held <= p.CACHE_BYTES + 200_000 * 3 * p.ENTRY_BYTES
