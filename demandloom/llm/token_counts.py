@@ -10,6 +10,7 @@ score of a piece is the log of a Zipf share of that order. Nothing is trained.
 """
 
 import math
+from collections import deque
 
 from pyspark.sql import functions as F
 
@@ -18,6 +19,9 @@ from .rows import map_slices, texts_of
 SPACE = "▁"
 #: Trie nodes a worker keeps; beyond it the trie starts anew, which changes no count.
 MOST_NODES = 1_500_000
+#: Longer pre-tokens, as scripts without blanks have, share no prefix worth keeping. They go by the
+#: same recurrence over a window of the longest piece, and leave no node.
+LONG_WORD = 256
 
 
 def piece_scores(path):
@@ -64,11 +68,29 @@ class CountingTrie:
                     score, tokens = reached, count
         return score, tokens
 
+    def _rolling(self, text):
+        """Tokens of a text, holding only the prefixes that a piece can reach back to."""
+        best, tokens, get = deque([0.0], self.longest), deque([0], self.longest), self.scores.get
+        for end, ch in enumerate(text, 1):
+            size = len(ch.encode("utf-8", "surrogatepass"))
+            score, count = best[-1] + size * self.byte_score, tokens[-1] + size
+            for back in range(min(self.longest, end), 0, -1):
+                own = get(text[end - back : end])
+                if own is not None:
+                    reached, more = best[-back] + own, tokens[-back] + 1
+                    if reached > score or reached == score and more < count:
+                        score, count = reached, more
+            best.append(score)
+            tokens.append(count)
+        return tokens[-1]
+
     def count(self, word):
         """Tokens of a word behind its space mark; inserted at its first use."""
         known = self.terminals.get(word)
         if known is not None:
             return known
+        if len(word) > LONG_WORD:
+            return self._rolling(SPACE + word)
         if len(self.best) > MOST_NODES:
             self.clear()
         node, path, text = 0, [0], SPACE + word

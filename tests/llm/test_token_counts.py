@@ -1,3 +1,5 @@
+import random
+
 import public_tokenizers
 import pytest
 
@@ -44,3 +46,17 @@ def test_a_full_trie_starts_anew(scores, monkeypatch):
     assert [small.count(w) for w in words] == want
     assert len(small.best) < len(whole.best)
     assert small.total(words) == whole.total(words) == sum(want)
+
+
+def test_long_words_leave_no_nodes(scores, monkeypatch):
+    """The rolling window gives the trie's counts, and a word of any length holds a bounded part of itself."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice(["a", "ing", "the", "ß", "中", "国", "zq", "▁"]) for _ in range(rng.randint(1, 90))) for _ in range(60)]
+    trie, plain = t.CountingTrie(*scores), t.CountingTrie(*scores)
+    monkeypatch.setattr(t, "LONG_WORD", 10)
+    rolled = [trie.count(w) for w in words]
+    monkeypatch.setattr(t, "LONG_WORD", 10**9)
+    assert rolled == [plain.count(w) for w in words] == [brute(t.SPACE + w, *scores) for w in words]
+    monkeypatch.setattr(t, "LONG_WORD", 256)
+    nodes = len(trie.best)
+    assert trie.count("中" * 200_000) > 0 and len(trie.best) == nodes
