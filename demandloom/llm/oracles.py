@@ -88,7 +88,7 @@ def _decontamination():
     hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + size)) AS p FROM found) GROUP BY rid),
     items AS (
       SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
-      FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM found JOIN item_windows USING (size, gram)) GROUP BY rid)
+      FROM (SELECT DISTINCT rid, coalesce(CAST(item_id AS VARCHAR), '') AS item FROM found JOIN item_windows USING (size, gram)) GROUP BY rid)
     SELECT doc_id,
            len(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORD}')) AS n_words,
            coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
@@ -144,7 +144,10 @@ def _secret_scan():
         f"SELECT rid, '{kind}' AS kind, {n} AS o, place AS start, place + length(m) AS stop FROM ({_matches('d', 'text', p, keep)})"
         for n, (kind, (p, keep)) in enumerate(base.items())
     )
-    allowed = " OR ".join(f"regexp_full_match(m, {_text(p.pattern)})" for p in secret_scan.ALLOWED)
+    known_words = [
+        " OR ".join(f"regexp_full_match(m, {_text(p.pattern)})" for p in patterns)
+        for patterns in (secret_scan.ALLOWED, secret_scan.PLAIN)
+    ]
     before = f"substr(text, greatest(place - {secret_scan.BEFORE_CHARS}, 0) + 1, least(place, {secret_scan.BEFORE_CHARS}))"
     added = " UNION ALL ".join(_class(n, *c) for n, c in enumerate(secret_scan.CLASSES, len(base)))
     line = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o)"
@@ -152,8 +155,9 @@ def _secret_scan():
     WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
     known AS ({known}),
     candidates AS (
-      SELECT rid, m AS c, place AS c_start FROM ({_matches('d', 'text', secret_scan.CANDIDATE.pattern)})
-      WHERE NOT ({allowed}) AND NOT regexp_matches({before}, {_text(secret_scan.ALLOWED_BEFORE.pattern)})),
+      SELECT rid, m AS c, place AS c_start, {known_words[0]} AS allowed, {known_words[1]} AS plain
+      FROM ({_matches('d', 'text', secret_scan.CANDIDATE.pattern)})
+      WHERE NOT regexp_matches({before}, {_text(secret_scan.ALLOWED_BEFORE.pattern)})),
     added AS (
       SELECT * FROM ({added}) a WHERE NOT EXISTS (
         SELECT 1 FROM known k WHERE k.rid = a.rid AND k.start <= a.start AND a.stop <= k.stop)),
@@ -167,8 +171,11 @@ def _secret_scan():
     FROM d LEFT JOIN base USING (rid) LEFT JOIN whole USING (rid)"""
 
 
-def _class(number, kind, characters, width, bits, letters, digits):
+def _class(number, kind, characters, width, bits, letters, digits, changes, patterns):
     """Every window of a class's runs by its own counts, then neighbours merged."""
+    source = f"(SELECT * FROM candidates WHERE NOT {'allowed' if patterns is secret_scan.ALLOWED else 'plain'})"
+    kinds = f"translate(w, '{UPPER}{LOWER}0123456789', '{'A' * 26}{'a' * 26}{'0' * 10}')"
+    changed = " + ".join(f"length({kinds}) - length(replace({kinds}, '{pair}', ' '))" for pair in ("aA", "a0", "A0", "0a", "0A"))
     units = [secret_scan.entropy_units(c) for c in range(width + 1)]
     most = round(width * (math.log2(width) - bits) * secret_scan.SCALE)
     run = characters.pattern.removesuffix("+") + f"{{{width},}}"
@@ -179,10 +186,11 @@ def _class(number, kind, characters, width, bits, letters, digits):
           SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY rid, c_start, place ORDER BY i) + {width} THEN 0 ELSE 1 END AS opens
           FROM (
             SELECT *, substr(m, i + 1, {width}) AS w FROM (
-              SELECT *, unnest(range(length(m) - {width} + 1)) AS i FROM ({_matches('candidates', 'c', run)})))
+              SELECT *, unnest(range(length(m) - {width} + 1)) AS i FROM ({_matches(source, 'c', run)})))
           WHERE list_sum([{units}[length(w) - length(replace(w, x, '')) + 1] FOR x IN list_distinct(string_split(w, ''))]) <= {most}
             AND length(regexp_replace(w, '[^A-Za-z]', '', 'g')) >= {letters}
-            AND length(regexp_replace(w, '[^0-9]', '', 'g')) >= {digits}))
+            AND length(regexp_replace(w, '[^0-9]', '', 'g')) >= {digits}
+            AND {changed} >= {changes}))
       GROUP BY rid, c_start, place, part"""
 
 

@@ -1,20 +1,19 @@
 """Secrets in texts: three fixed patterns, and windows of high entropy.
 
 Patterns alone miss keys of unknown format. Every run of key characters is therefore
-scanned once more per character class: a window slides over the run, its Shannon
-entropy follows from counts that change by one character in and one out, and the
-windows above the class's limit are merged into spans. Spans that an allow-list knows
-(UUIDs, checksums, data URLs, plain words joined by separators) are suppressed; spans
-inside a pattern's span are that span already. Pattern spans are never suppressed.
-
-The SQL twin of the scan fixes these spans. They miss keys with few digits, so masking
-looks further: it also takes candidates that change between letters, cases and digits
-more often than words do, and knows plain words by their case.
+scanned once more per character class: a window slides over the run, its counts change by
+one character in and one out, and the windows above the class's limits are merged into
+spans. Besides entropy, a class asks for letters and digits, or, where keys have few digits,
+for changes between letters, cases and digits that words do not have. Spans that an
+allow-list knows (UUIDs, checksums, data URLs, plain words joined by separators) are
+suppressed; spans inside a pattern's span are that span already. Pattern spans are never
+suppressed. Work is in proportion to the length of a text and the number of its spans.
 """
 
 import hashlib
 import math
 import re
+from bisect import bisect_right
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -34,30 +33,27 @@ HEX_LEAST = 24
 #: Finds the runs of ``HEX`` that are long enough, without stopping at every short one.
 LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LEAST)
 
-#: kind, characters, window, least entropy in bits a character, least letters and digits in a window.
-CLASSES = (
-    ("entropy_hex", re.compile(r"[0-9A-Fa-f]+"), 20, 2.6, 3, 3),
-    ("entropy_base32", re.compile(r"[A-Z2-7]+"), 24, 3.4, 6, 2),
-    ("entropy_base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.4, 4, 3),
-)
-ORDER = ("assign", "access", "hex", *(c[0] for c in CLASSES))
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % min(c[2] for c in CLASSES))
-
-#: Candidates that look random and are no secrets.
-ALLOWED = (
-    re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),
-    re.compile(r"(?:[A-Za-z]+|[0-9]+)(?:[-_/=+]+(?:[A-Za-z]+|[0-9]+))*[-_/=+]*"),
-    re.compile(r"(?i:sha(?:1|224|256|384|512)[-_=].+)"),
-)
+UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+CHECKSUM = re.compile(r"(?i:sha(?:1|224|256|384|512)[-_=].+)")
+#: Candidates that look random and are no secrets: letters or digits joined by separators.
+ALLOWED = (UUID, re.compile(r"(?:[A-Za-z]+|[0-9]+)(?:[-_/=+]+(?:[A-Za-z]+|[0-9]+))*[-_/=+]*"), CHECKSUM)
+#: The same where digits are not asked for: words of one case, or with small letters after each capital.
+WORD = r"(?:[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*|[0-9]+)"
+PLAIN = (UUID, re.compile(rf"{WORD}(?:[-_/=+]+{WORD})*[-_/=+]*"), CHECKSUM)
 #: Text just before a candidate that marks a checksum or an embedded file.
 ALLOWED_BEFORE = re.compile(r"(?i:(?:sha-?(?:1|224|256|384|512)|md5|crc32|checksum|etag)[\"']?[ ]*[:=@][ ]*[\"']?|;base64,)$")
 BEFORE_CHARS = 24
 
-#: Masking lets only words of one case, or with small letters after each capital, pass as plain.
-WORD = r"(?:[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*|[0-9]+)"
-PLAIN = (ALLOWED[0], re.compile(rf"{WORD}(?:[-_/=+]+{WORD})*[-_/=+]*"), ALLOWED[2])
-#: Window, least entropy and letters in it, and least changes of class in it, for masking.
-MIXED = (20, 3.4, 4, 4)
+#: kind, characters, window, least entropy in bits a character, least letters, digits and changes
+#: of class in a window, allow-list.
+CLASSES = (
+    ("entropy_hex", re.compile(r"[0-9A-Fa-f]+"), 20, 2.6, 3, 3, 0, ALLOWED),
+    ("entropy_base32", re.compile(r"[A-Z2-7]+"), 24, 3.4, 6, 2, 0, ALLOWED),
+    ("entropy_base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.4, 4, 3, 0, ALLOWED),
+    ("entropy_mixed", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.4, 4, 0, 4, PLAIN),
+)
+ORDER = ("assign", "access", "hex", *(c[0] for c in CLASSES))
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % min(c[2] for c in CLASSES))
 
 SCALE = 1 << 32
 
@@ -67,11 +63,18 @@ def entropy_units(count):
     return round(count * math.log2(count) * SCALE) if count else 0
 
 
-def hot_windows(run, width, least_bits, least_letters, least_digits):
-    """Merged (start, end) of the windows of ``run`` that reach all three limits."""
+def _change(before, ch):
+    """Whether two neighbours change class. A small letter after a capital is no change, nor one beside a separator."""
+    if not (before.isalnum() and ch.isalnum()):
+        return False
+    return before.isdigit() != ch.isdigit() or before.islower() and ch.isupper()
+
+
+def hot_windows(run, width, least_bits, least_letters, least_digits, least_changes=0):
+    """Merged (start, end) of the windows of ``run`` that reach all limits."""
     units = [entropy_units(c) for c in range(width + 1)]
     most = round(width * (math.log2(width) - least_bits) * SCALE)
-    counts, total, letters, digits, merged = {}, 0, 0, 0, []
+    counts, total, letters, digits, changes, merged, before = {}, 0, 0, 0, 0, [], " "
     for i, ch in enumerate(run):
         if i >= width:
             gone = run[i - width]
@@ -80,13 +83,18 @@ def hot_windows(run, width, least_bits, least_letters, least_digits):
             total += units[c - 1] - units[c]
             letters -= gone.isalpha()
             digits -= gone.isdigit()
+            if least_changes:
+                changes -= _change(gone, run[i - width + 1])
         c = counts.get(ch, 0)
         counts[ch] = c + 1
         total += units[c + 1] - units[c]
         letters += ch.isalpha()
         digits += ch.isdigit()
+        if least_changes:
+            changes += _change(before, ch)
+            before = ch
         start = i - width + 1
-        if start >= 0 and total <= most and letters >= least_letters and digits >= least_digits:
+        if start >= 0 and total <= most and letters >= least_letters and digits >= least_digits and changes >= least_changes:
             if merged and start <= merged[-1][1]:
                 merged[-1][1] = i + 1
             else:
@@ -94,10 +102,7 @@ def hot_windows(run, width, least_bits, least_letters, least_digits):
     return merged
 
 
-def allowed(text, start, end, patterns=ALLOWED):
-    candidate = text[start:end]
-    if any(p.fullmatch(candidate) for p in patterns):
-        return True
+def marked_before(text, start):
     return ALLOWED_BEFORE.search(text[max(0, start - BEFORE_CHARS) : start]) is not None
 
 
@@ -111,18 +116,30 @@ def pattern_spans(text):
 
 
 def entropy_spans(text, known):
+    """Spans of every class that no span of ``known`` holds."""
+    starts, ends = [], []
+    for _, start, end in sorted(known, key=lambda k: k[1]):
+        starts.append(start)
+        ends.append(max(end, ends[-1]) if ends else end)
+
+    def held(start, end):
+        before = bisect_right(starts, start)
+        return before and ends[before - 1] >= end
+
     found = []
     for candidate in CANDIDATE.finditer(text):
-        if allowed(text, candidate.start(), candidate.end()):
+        if marked_before(text, candidate.start()):
             continue
-        for kind, characters, width, *limits in CLASSES:
+        passes = {id(p): not any(q.fullmatch(candidate[0]) for q in p) for p in (ALLOWED, PLAIN)}
+        for kind, characters, width, *limits, patterns in CLASSES:
+            if not passes[id(patterns)]:
+                continue
             for run in characters.finditer(text, candidate.start(), candidate.end()):
                 if run.end() - run.start() < width:
                     continue
                 for a, b in hot_windows(run[0], width, *limits):
-                    start, end = run.start() + a, run.start() + b
-                    if not any(s <= start and end <= e for _, s, e in known):
-                        found.append((kind, start, end))
+                    if not held(run.start() + a, run.start() + b):
+                        found.append((kind, run.start() + a, run.start() + b))
     return found
 
 
@@ -168,31 +185,8 @@ def scan_secrets(docs, id_col="doc_id", text_col="text"):
     )
 
 
-def _class_of(ch):
-    return "0" if ch.isdigit() else "a" if ch.islower() else "A" if ch.isupper() else ""
-
-
-def mixed(run):
-    """Whether a hot window of ``run`` changes its class as often as random keys do.
-
-    A small letter after a capital is no change, nor is one beside a separator.
-    """
-    width, bits, letters, least = MIXED
-    kinds = [_class_of(ch) for ch in run]
-    changes = [bool(a and b) and a != b and a + b != "Aa" for a, b in zip(kinds, kinds[1:])]
-    for start, end in hot_windows(run, width, bits, letters, 0):
-        inside = sum(changes[start : start + width - 1])
-        if inside >= least:
-            return True
-        for i in range(start, end - width):
-            inside += changes[i + width - 1] - changes[i]
-            if inside >= least:
-                return True
-    return False
-
-
 def mask_spans(text):
-    """Merged (start, end) of what masking takes: all spans, and candidates mixed like keys.
+    """Merged (start, end) of what masking takes.
 
     A key is hot in places only, so a span takes the whole candidate around it. An
     assignment holds its whole value already and leaves what stands before it.
@@ -200,10 +194,16 @@ def mask_spans(text):
     spans = spans_of(text)[0]
     taken = [(start, end) for kind, start, end in spans if kind == "assign"]
     found = [(start, end) for kind, start, end in spans if kind != "assign"]
+    at = 0
     for candidate in CANDIDATE.finditer(text):
         first, last = candidate.span()
-        hot = any(first <= start and end <= last for start, end in found)
-        if hot or not allowed(text, first, last, PLAIN) and mixed(candidate[0]):
+        while at < len(found) and found[at][0] < first:
+            at += 1
+        hot = False
+        while at < len(found) and found[at][0] < last:
+            hot |= found[at][1] <= last
+            at += 1
+        if hot:
             taken.append((first, last))
     merged = []
     for start, end in sorted(taken):

@@ -3,18 +3,22 @@ import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 from demandloom.llm import secret_scan as s
 
 
-def brute_windows(run, width, bits, letters, digits):
+def brute_windows(run, width, bits, letters, digits, least=0):
     """Merged windows by counting every window anew."""
+    pairs = r"(?=[a-z][A-Z]|[A-Za-z][0-9]|[0-9][A-Za-z])"
     out = []
     for start in range(len(run) - width + 1):
         window = run[start : start + width]
         total = sum(s.entropy_units(c) for c in Counter(window).values())
         entropy_ok = total <= round(width * (math.log2(width) - bits) * s.SCALE)
+        if len(re.findall(pairs, window)) < least:
+            continue
         if entropy_ok and sum(map(str.isalpha, window)) >= letters and sum(map(str.isdigit, window)) >= digits:
             if out and start <= out[-1][1]:
                 out[-1][1] = start + width
@@ -28,6 +32,8 @@ def test_windows_equal_full_counts():
     for _ in range(300):
         run = "".join(rng.choice(rng.choice(["ab1", "abcdef0123456789", "aaaaaaa9"])) for _ in range(rng.randint(0, 70)))
         assert s.hot_windows(run, 12, 2.2, 2, 2) == brute_windows(run, 12, 2.2, 2, 2)
+        run = "".join(rng.choice("abAB01-_") for _ in range(rng.randint(0, 70)))
+        assert s.hot_windows(run, 12, 1.2, 1, 0, 4) == brute_windows(run, 12, 1.2, 1, 0, 4)
 
 
 def brute_base(text):
@@ -59,7 +65,7 @@ def test_base_spans(spark):
 
 def test_entropy_adds_and_allow_list_suppresses():
     key = "q7Zr2LmX9vB4tK8sW1yD"
-    assert s.spans_of(f"see {key} here")[0] == [("entropy_base64", 4, 24)]
+    assert s.spans_of(f"see {key} here")[0] == [("entropy_base64", 4, 24), ("entropy_mixed", 4, 24)]
     for plain in (
         "see 123e4567-e89b-12d3-a456-426614174000 here",
         f"sha256: {key * 2}",
@@ -86,6 +92,28 @@ def random_keys(letters, size, n=500):
     return ["".join(rng.choice(letters) for _ in range(size)) for _ in range(n)]
 
 
+def test_scan_finds_random_keys(spark):
+    """Recall of the query's spans on keys without an assignment."""
+    for letters, least in ((ALNUM + "+/", 0.97), (ALNUM + "-_", 0.97), (ALNUM, 0.97), (string.ascii_uppercase + "234567", 0.8)):
+        for size in (20, 24, 32, 40, 64):
+            keys = random_keys(letters, size, 1000)
+            rows = s.scan_secrets(spark.createDataFrame([(i, f"see {k} here") for i, k in enumerate(keys)], "doc_id long, text string").coalesce(1))
+            found = rows.where("n_spans > 0").count()
+            assert found >= least * len(keys), (letters, size, found)
+
+
+def test_long_texts_of_keys_take_time_in_proportion():
+    """Ten times the keys, some ten times the seconds; lookups among known spans don't grow with them."""
+    rng = random.Random(5)
+    text = lambda n: " ".join("".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(n))
+    seconds = []
+    for n in (3_000, 30_000):
+        whole, began = text(n), time.process_time()
+        assert len([x for x in s.spans_of(whole)[0] if x[0] == "hex"]) == n and s.masked(whole).count("[SECRET]") == n
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 25 * seconds[0]
+
+
 def test_masking_finds_random_keys_and_spares_words():
     for letters in (ALNUM + "+/", ALNUM + "-_", ALNUM):
         for size in (20, 24, 32, 40, 64):

@@ -46,4 +46,4 @@ def test_spans_of_every_kind(spark, tmp_path):
     found = queries.op1_secret_scan(spark, str(tmp_path))
     assert oracle.differences(found, connection, oracles.SQL["op1_secret_scan"]) == []
     kinds = {s.split(":")[0] for r in found.collect() for s in r["spans"].split(",") if s}
-    assert kinds == {"assign", "access", "hex", "entropy_hex", "entropy_base32", "entropy_base64"}
+    assert kinds == {"assign", "access", "hex", "entropy_hex", "entropy_base32", "entropy_base64", "entropy_mixed"}
