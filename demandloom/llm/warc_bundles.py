@@ -24,6 +24,8 @@ from .rows import map_slices
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 64 << 20
 LEVEL = 6
+#: Compressed bytes that one task reads back.
+READ_BYTES = 4 << 20
 DATE = "2024-01-01T00:00:00Z"
 
 # Fixed values of the seekable format.
@@ -93,9 +95,10 @@ def parse_record(data, at=0):
 class BundleWriter:
     """Frames of whole records, and the seek table at the end."""
 
-    def __init__(self, folder):
+    def __init__(self, folder, frame_bytes=FRAME_BYTES):
         import zstandard
 
+        self.frame_bytes = frame_bytes
         self.uri = f"{folder}/{uuid.uuid4().hex}.warc.zst"
         store, path = open_store(self.uri)
         self.out = store.open_output_stream(path, compression=None)
@@ -104,7 +107,7 @@ class BundleWriter:
 
     def add(self, record):
         """The record's frame and place in the frame."""
-        if self.size and self.size + len(record) > FRAME_BYTES:
+        if self.size and self.size + len(record) > self.frame_bytes:
             self.flush()
         place = (len(self.frames), self.size)
         self.held.append(record)
@@ -152,19 +155,23 @@ def with_references(pages, id_col="page_id", payload_col="html", url_col="url",
 
     A null payload is empty. Payloads shorter than ``least_bytes`` are never revisits.
     Rows that repeat the largest page_id are responses all; pages without an id never
-    stand for others. The sum per digest is partial before the shuffle, and a digest
-    with many pages is split by adaptive execution.
+    stand for others. Only digests that occur more than once are looked up: they are counted
+    with a partial sum before the shuffle and stored, so that few of them are broadcast and no
+    payload moves. Many are joined by a shuffle, where adaptive execution splits a hot digest.
     """
+    spark = pages.sparkSession
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"),
-        F.sha1(payload.cast("binary")).alias("_digest"),
+        F.unhex(F.sha1(payload.cast("binary"))).alias("_digest"),
     )
-    largest = rows.groupBy("_digest").agg(F.max("page_id").alias("_largest"))
+    repeated = rows.groupBy("_digest").agg(F.max("page_id").alias("_largest"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    path = shared_folder(spark, "warc-digests")
+    repeated.write.parquet(path)
     other = (F.octet_length("payload") >= least_bytes) & (
         F.col("page_id").isNull() | (F.col("page_id") != F.col("_largest"))
     )
-    return rows.join(largest, "_digest").select(
+    return rows.join(spark.read.parquet(path), "_digest", "left").select(
         "page_id", "url", "payload", F.when(other, F.col("_largest")).alias("refers_to")
     )
 
@@ -174,7 +181,7 @@ INDEX_DDL = (
 )
 
 
-def write_bundles(pages, folder, **columns):
+def write_bundles(pages, folder, frame_bytes=FRAME_BYTES, **columns):
     """Write all pages below ``folder``; returns the stored index, one row per record."""
     spark = pages.sparkSession
     rows = with_references(pages, **columns)
@@ -198,7 +205,7 @@ def write_bundles(pages, folder, **columns):
             for row in batch.to_pylist():
                 payload = row["payload"].encode("utf-8")
                 record = record_bytes(row["page_id"], row["url"], payload, digest_of(payload), row["refers_to"])
-                writer = writer or BundleWriter(f"{folder}/bundles")
+                writer = writer or BundleWriter(f"{folder}/bundles", frame_bytes)
                 placed.append((row["page_id"], *writer.add(record), len(record)))
                 if writer.written >= BUNDLE_BYTES:
                     yield finish()
@@ -215,15 +222,18 @@ def write_bundles(pages, folder, **columns):
 RECORD_DDL = "page_id long, payload string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def read_records(index, with_payload=True):
+def read_records(index, with_payload=True, read_bytes=READ_BYTES):
     """Records of an index, or of any rows filtered from it, read frame by frame.
 
     Each frame is read once, by its range in the bundle. A response is checked against
-    its length and digest.
+    its length and digest. The bytes behind the index, not the small index itself, say how
+    many tasks read: each takes neighbouring frames of some bundles.
     """
     frames = index.groupBy("bundle", "frame", "frame_start", "frame_bytes").agg(
         F.collect_list("record_start").alias("places")  # bounded by the records of one frame
     )
+    total = index.select("bundle", "frame", "frame_bytes").distinct().agg(F.coalesce(F.sum("frame_bytes"), F.lit(0))).first()[0]
+    frames = frames.repartitionByRange(max(1, -(-total // read_bytes)), "bundle", "frame_start")
 
     def work(slices):
         import zstandard

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 import struct
 from pathlib import Path
 
@@ -71,3 +72,13 @@ def test_least_bytes_damage_and_no_pages(spark, pages):
     record = w.record_bytes(1, None, b"body", w.digest_of(b"body"), None)
     with pytest.raises(ValueError):
         w.parse_record(record[:-2] + b"xx")
+
+
+def test_frames_are_read_by_many_tasks(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(i, "http://x/", "".join(rng.choice("abcdefgh ") for _ in range(900))) for i in range(200)]
+    index = w.write_bundles(spark.createDataFrame(rows, "page_id long, url string, html string"), f"file://{tmp_path}", frame_bytes=2000)
+    records = w.read_records(index, read_bytes=4000)
+    assert records.rdd.getNumPartitions() >= 10
+    tasks = [n for n in records.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert len(tasks) >= 10 and sum(tasks) == 200 and max(tasks) < 60
