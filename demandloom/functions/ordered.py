@@ -55,13 +55,35 @@ def _counted(df, value, by, counts):
     return df.where(known).groupBy(*by, F.col(value).alias("_v")).agg(*counts)
 
 
+def stored_counts(df, value, by=(), **extra):
+    """How often each value stands in each group, stored in order: group, ``_v``, ``n``.
+
+    Null and NaN are values here. ``extra`` adds named aggregates of the same rows. The
+    one pass over ``df`` runs now; whatever is asked of the counts later reads only them.
+    """
+    counted = df.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in extra.items()])
+    return stored_in_order(counted, *by, "_v")
+
+
+def known_values(stored):
+    """Stored counts without null and NaN."""
+    known = F.col("_v").isNotNull()
+    if dict(stored.dtypes)["_v"] in ("double", "float"):
+        known = known & ~F.isnan("_v")
+    return stored.where(known)
+
+
 def exact_percentiles(df, value, percentiles, by=()):
     """Linearly interpolated percentiles of a numeric column; null and NaN are left out.
 
     ``percentiles`` maps output names to probabilities. One row per group in ``by``.
     """
-    by = list(by)
-    stored = stored_in_order(_counted(df, value, by, [F.count(F.lit(1)).alias("n")]), *by, "_v")
+    return percentiles_of(stored_counts(df, value, by), percentiles, by)
+
+
+def percentiles_of(stored, percentiles, by=()):
+    """``exact_percentiles`` of rows that ``stored_counts`` has counted."""
+    by, stored = list(by), known_values(stored)
     ranges = range_starts(stored, ["n"], by)
 
     def wanted(name, probability):

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..columns import SERIES, TARGET
-from ..functions import exact_percentiles, season_month
+from ..functions import known_values, percentiles_of, season_month, stored_counts
 
 WEEKS = list(range(1, 54))
 BINS = 80
@@ -25,16 +25,22 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def weekly_summary(weekly):
-    """Count, mean, deviation, extremes and quartiles to two digits, and null cells."""
-    stats = weekly.agg(
-        F.count(TARGET).alias("count"),
-        F.round(F.avg(TARGET), 2).alias("mean"),
-        F.round(F.stddev_samp(TARGET), 2).alias("std"),
-        F.min(TARGET).cast("double").alias("min"),
-        F.max(TARGET).cast("double").alias("max"),
-        sum(F.count_if(F.col(c).isNull()) for c in weekly.columns).alias("null_cells"),
+    """Count, mean, deviation, extremes and quartiles to two digits, and null cells.
+
+    One pass counts the values and the null cells beside them; all else follows from the counts.
+    """
+    counts = stored_counts(weekly, TARGET, null_cells=F.sum(sum(F.col(c).isNull().cast("long") for c in weekly.columns)))
+    known, n = known_values(counts), F.col("n")
+    mean = known.agg(F.try_divide(F.sum(F.col("_v") * n), F.sum("n")).cast("double")).scalar()
+    stats = known.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
+        F.round(mean, 2).alias("mean"),
+        F.round(F.sqrt(F.try_divide(F.sum(F.pow(F.col("_v") - mean, 2) * n), F.sum("n") - 1)), 2).alias("std"),
+        F.min("_v").cast("double").alias("min"),
+        F.max("_v").cast("double").alias("max"),
+        counts.agg(F.coalesce(F.sum("null_cells"), F.lit(0))).scalar().alias("null_cells"),
     )
-    quartiles = exact_percentiles(weekly, TARGET, QUARTILES)
+    quartiles = percentiles_of(counts, QUARTILES)
     packed = quartiles.select(F.struct(*[F.round(q, 2).alias(q) for q in QUARTILES]).alias("q"))
     return (
         stats.withColumn("q", packed.scalar())
@@ -44,22 +50,23 @@ def weekly_summary(weekly):
 
 def histogram(weekly, bins=BINS, value=TARGET):
     """Rows per equal-width bin; the last bin includes the maximum. Empty bins are
-    listed too, and each row repeats the overall mean and median."""
-    stats = weekly.agg(
+    listed too, and each row repeats the overall mean and median. One pass over ``weekly``."""
+    counts = stored_counts(weekly, value)
+    known = known_values(counts)
+    stats = known.agg(
         F.struct(
-            F.min(value).cast("double").alias("lo"),
-            F.max(value).cast("double").alias("hi"),
-            F.avg(value).alias("mean"),
+            F.min("_v").cast("double").alias("lo"),
+            F.max("_v").cast("double").alias("hi"),
+            F.try_divide(F.sum(F.col("_v") * F.col("n")), F.sum("n")).cast("double").alias("mean"),
         ).alias("s")
     )
-    median = exact_percentiles(weekly, value, {"median": 0.5})
+    median = percentiles_of(counts, {"median": 0.5})
     width = (F.col("s.hi") - F.col("s.lo")) / bins
-    place = F.floor(F.try_divide(F.col(value) - F.col("s.lo"), width))
+    place = F.floor(F.try_divide(F.col("_v") - F.col("s.lo"), width))
     counted = (
-        weekly.where(F.col(value).isNotNull())
-        .select(value, stats.scalar().alias("s"))
+        known.select("_v", "n", stats.scalar().alias("s"))
         .groupBy(F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.sum("n").alias("rows"))
     )
     edges = (
         stats.withColumn("median", median.scalar())
@@ -94,19 +101,18 @@ def first_week_places(weekly):
 
 
 def monthly_boxes(weekly):
-    """Quartiles and whiskers per season month, outliers left out of the whiskers."""
-    counted = weekly.where(F.col(TARGET).isNotNull()).select(
-        season_month(F.col("week_of_year")).alias("month"), TARGET
-    )
-    boxes = exact_percentiles(counted, TARGET, QUARTILES, by=["month"])
+    """Quartiles and whiskers per season month, outliers left out of the whiskers. One pass over ``weekly``."""
+    counts = stored_counts(weekly.withColumn("month", season_month(F.col("week_of_year"))), TARGET, by=["month"])
+    boxes = percentiles_of(counts, QUARTILES, by=["month"])
     spread = (F.col("q3") - F.col("q1")) * 1.5
-    inside = F.col(TARGET).between(F.col("q1") - spread, F.col("q3") + spread)
+    inside = F.col("_v").between(F.col("q1") - spread, F.col("q3") + spread)
     return (
-        counted.join(F.broadcast(boxes), "month")  # twelve rows at most
+        known_values(counts)
+        .join(F.broadcast(boxes), "month")  # twelve rows at most
         .groupBy("month", *QUARTILES)
         .agg(
-            F.min(F.when(inside, F.col(TARGET))).cast("double").alias("lo"),
-            F.max(F.when(inside, F.col(TARGET))).cast("double").alias("hi"),
+            F.min(F.when(inside, F.col("_v"))).cast("double").alias("lo"),
+            F.max(F.when(inside, F.col("_v"))).cast("double").alias("hi"),
         )
         .select(
             "month",
@@ -194,31 +200,24 @@ def item_volatility(weekly):
 def correlations(gold, columns=CORRELATED):
     """Lower triangle of the Pearson matrix in long form, diagonal included.
 
-    One aggregation of sums and products, combined on the map side, gives every cell.
-    Rows that miss one of the columns are left out; a constant column has null cells.
+    One aggregation gives every cell, combined on the map side. Its covariances are kept as
+    centred sums that merge without cancelling, so a large mean costs no digits. Rows that
+    miss one of the columns are left out; a constant column has null cells.
     """
     pairs = [(i, k) for i in range(len(columns)) for k in range(i + 1)]
     x = [F.col(c).cast("double") for c in columns]
-    sums = gold.dropna(subset=list(columns)).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(x[i]).alias(f"s{i}") for i in range(len(columns))],
-        *[F.sum(x[i] * x[k]).alias(f"p{i}_{k}") for i, k in pairs],
-    )
-
-    def spread(i, k):
-        return F.col(f"p{i}_{k}") - F.col(f"s{i}") * F.col(f"s{k}") / F.col("n")
-
+    spreads = gold.dropna(subset=list(columns)).agg(*[F.covar_pop(x[i], x[k]).alias(f"c{i}_{k}") for i, k in pairs])
     cells = F.array(
         *[
             F.struct(
                 F.lit(columns[i]).alias("row"),
                 F.lit(columns[k]).alias("column"),
-                F.try_divide(spread(i, k), F.sqrt(spread(i, i)) * F.sqrt(spread(k, k))).alias("r"),
+                F.try_divide(F.col(f"c{i}_{k}"), F.sqrt(f"c{i}_{i}") * F.sqrt(f"c{k}_{k}")).alias("r"),
             )
             for i, k in pairs
         ]
     )
-    return sums.select(F.inline(cells))
+    return spreads.select(F.inline(cells))
 
 
 def lag_pairs(gold, lag="lag_1_week"):

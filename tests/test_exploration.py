@@ -80,6 +80,22 @@ def test_correlations_match_numpy(spark):
     assert all(got[names[i], names[j]] == pytest.approx(full[i, j]) for i in range(3) for j in range(i + 1))
 
 
+@pytest.mark.parametrize("offset", [1e6, 1e8])
+def test_correlations_of_large_means(spark, offset):
+    rng = np.random.default_rng(9)
+    data = rng.random((5000, 2))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in data + offset], "a double, b double").repartition(7)
+    got = {(r.row, r.column): r.r for r in exploration.correlations(df, ("a", "b")).collect()}
+    assert got["b", "a"] == pytest.approx(np.corrcoef(data.T)[0, 1], abs=1e-6) and got["a", "a"] == pytest.approx(1)
+
+
+def test_correlation_of_a_constant_is_null(spark):
+    df = spark.createDataFrame([(5.1, float(i)) for i in range(90)], "a double, b double").repartition(5)
+    assert {(r.row, r.column): r.r for r in exploration.correlations(df, ("a", "b")).collect()} == {
+        ("a", "a"): None, ("b", "a"): None, ("b", "b"): pytest.approx(1.0)
+    }
+
+
 def test_summary_of_layers(spark):
     daily = clean_daily(raw(spark, [("2013-01-07", 1, 1, 4), ("2013-01-08", 2, 1, 6)]), holidays(spark, "2013-01-07"))
     rows = rollup.to_weekly(daily)
