@@ -111,3 +111,28 @@ def encode_by_mean(features, means, column, default):
     return features.join(means, column, "left").withColumn(
         f"{column}_mean", F.coalesce(f"{column}_mean", F.lit(default).cast("double"))
     )
+
+
+def fold_means(rows, column, fold, target=TARGET, weight=20):
+    """Add ``<column>_mean``: the mean target of the row's category over all folds but its own.
+
+    A model that trains on means of its own rows learns how often they were seen; with folds
+    no row's target is in its own encoding. ``fold`` is an expression of few values. Means
+    are drawn towards the other folds' overall mean by ``weight`` rows, which is also what a
+    category of one fold gets. Sums are partial before the shuffle; only one row per fold
+    is broadcast.
+    """
+    rows = rows.withColumn("_fold", F.coalesce(fold, F.lit(0)))
+    own = rows.groupBy(column, "_fold").agg(F.sum(target).alias("_s"), F.count(target).alias("_n"))
+    category = Window.partitionBy(column)  # at most one row per fold
+    own = own.withColumns({"_cs": F.sum("_s").over(category) - F.coalesce("_s", F.lit(0)), "_cn": F.sum("_n").over(category) - F.col("_n")})
+    overall = rows.agg(F.sum(target)).scalar(), rows.agg(F.count(target)).scalar()
+    folds = (
+        rows.groupBy("_fold")
+        .agg(F.coalesce(F.sum(target), F.lit(0)).alias("_fs"), F.count(target).alias("_fn"))
+        .select("_fold", F.try_divide(overall[0] - F.col("_fs"), overall[1] - F.col("_fn")).alias("_rest"))
+    )
+    mean = F.try_divide(F.coalesce("_cs", F.lit(0)) + weight * F.col("_rest"), F.col("_cn") + weight)
+    joined = rows.join(own.select(F.col(column).alias("_category"), F.col("_fold").alias("_own_fold"), "_cs", "_cn"),
+                       F.col(column).eqNullSafe(F.col("_category")) & (F.col("_fold") == F.col("_own_fold")))
+    return joined.join(F.broadcast(folds), "_fold").select(*[c for c in rows.columns if c != "_fold"], mean.alias(f"{column}_mean"))
