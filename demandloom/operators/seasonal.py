@@ -1,8 +1,9 @@
 """Trend plus yearly seasonality, one additive model per series.
 
-Fitting is a small weighted ridge regression per series inside a grouped map. The
-series is summed per date first, so a group holds at most one row per calendar week
-whatever the input. The result is a coefficient table; scoring is a join and a dot
+Fitting is a small penalised regression per series inside a grouped map: a normal prior on
+level, slope and season, and a Laplace prior on the bends of the trend, which leaves most of
+them at zero. The series is summed per date first, so a group holds at most one row per
+calendar week whatever the input. The result is a coefficient table; scoring is a join and a dot
 product in column expressions, without Python.
 """
 
@@ -21,6 +22,9 @@ YEAR_DAYS = 365.25
 FOURIER_ORDER = 10
 ORIGIN = datetime.date(2000, 1, 1)
 PENALTY = 1e-3
+#: Prior deviations of level and slope, and of the season, against the largest value.
+LEVEL_SCALE = 5.0
+SEASON_SCALE = 10.0
 TREND_SHARE = 0.8
 N_BENDS = 25
 BEND_SCALE = 0.05
@@ -81,7 +85,60 @@ def ridge_fit(points, n_bends=N_BENDS, bend_scale=BEND_SCALE, penalty=PENALTY):
     return coefficients, bends
 
 
-def fit_seasonal(train, fit=ridge_fit):
+def lasso(gram, right, penalty, sweeps=2000, tolerance=1e-12):
+    """The x with the least x'Gx/2 - r'x + penalty * sum|x|, one coordinate at a time."""
+    x, size = np.zeros(len(right)), np.diag(gram).copy()
+    pull = right.astype(float).copy()  # right - gram @ x, kept up to date
+    for _ in range(sweeps):
+        most = 0.0
+        for j in np.flatnonzero(size > 0):
+            free = pull[j] + size[j] * x[j]
+            new = np.sign(free) * max(abs(free) - penalty, 0.0) / size[j]
+            if new != x[j]:
+                pull -= gram[:, j] * (new - x[j])
+                most = max(most, abs(new - x[j]))
+                x[j] = new
+        if most <= tolerance * max(1.0, np.abs(x).max(initial=0.0)):
+            break
+    return x
+
+
+def sparse_fit(points, n_bends=N_BENDS, bend_scale=BEND_SCALE):
+    """Coefficients and trend bends from columns t, rows and total (of y per t).
+
+    Values count against the largest one and time against the length of the history. The
+    smooth part is taken out of the equations exactly, which leaves a lasso on the bends
+    alone. The noise that weighs the priors is that of the fit before. Bends at zero are left out.
+    """
+    t, weight, total = (points[c].to_numpy(dtype=float) for c in ("t", "rows", "total"))
+    y = total / weight
+    span, largest = (t.max() - t.min()) or 1.0, np.abs(y).max() or 1.0
+    bends = bend_places(t, n_bends)
+    x = design(t, bends)
+    smooth = x.shape[1] - len(bends)
+    # In scaled units: slope and bends per history.
+    scale = np.ones(x.shape[1])
+    scale[1], scale[smooth:] = 1 / span, 1 / span
+    z = x * scale
+    z[:, 1] -= t.min() / span
+    prior = np.full(smooth, SEASON_SCALE)
+    prior[:2] = LEVEL_SCALE
+    gram, right = (z * weight[:, None]).T @ z, z.T @ (total / largest)
+    noise = bend_scale
+    for _ in range(5 if len(bends) else 2):
+        own = gram[:smooth, :smooth] + np.diag((noise / prior) ** 2 + 1e-9)
+        taken = np.linalg.solve(own, np.column_stack([gram[:smooth, smooth:], right[:smooth]]))
+        rest = gram[smooth:, smooth:] - gram[smooth:, :smooth] @ taken[:, :-1]
+        bend = lasso(rest, right[smooth:] - gram[smooth:, :smooth] @ taken[:, -1], noise**2 / bend_scale)
+        found = np.concatenate([taken[:, -1] - taken[:, :-1] @ bend, bend])
+        noise = max(np.sqrt((weight * (y / largest - z @ found) ** 2).sum() / weight.sum()), 1e-6)
+    coefficients = found * scale * largest
+    coefficients[0] -= coefficients[1] * t.min()
+    kept = np.flatnonzero(bend)
+    return np.concatenate([coefficients[:smooth], coefficients[smooth:][kept]]), bends[kept]
+
+
+def fit_seasonal(train, fit=sparse_fit):
     """Model table with one row per series.
 
     ``fit(points) -> (coefficients, bends)`` may be replaced by the caller. A series
@@ -146,7 +203,7 @@ def score_weeks(weeks, models):
     )
 
 
-def seasonal_forecast(train, test, fit=ridge_fit):
+def seasonal_forecast(train, test, fit=sparse_fit):
     return forecast_from(fit_seasonal(train, fit), test)
 
 

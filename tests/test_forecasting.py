@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from demandloom.operators import alignment, arima, seasonal
+from demandloom.operators import alignment, arima, arima_exact, seasonal
 from demandloom.plans.scoring import score_upload
 from helpers import holidays, series, tuples, weekly
 
@@ -188,3 +188,93 @@ def test_upload_scores_only_series_with_a_model(spark):
     got = score_upload(upload, holidays(spark, "2017-01-02"), models)
     assert sorted(tuples(got.select("store", "item", "year", "week"))) == [(1, 1, 2017, 1), (1, 1, 2017, 2)]
     assert got.where(F.col("sales_prediction") > 0).count() == 2
+
+
+def kalman_deviance(w, phi, theta):
+    """The likelihood of an ARMA(1, 1) from its covariance matrix, with the noise variance taken out."""
+    n = len(w)
+    cover = [(1 + 2 * theta * phi + theta**2) / (1 - phi**2), (1 + phi * theta) * (phi + theta) / (1 - phi**2)]
+    while len(cover) < n:
+        cover.append(phi * cover[-1])
+    full = np.array([[cover[abs(i - j)] for j in range(n)] for i in range(n)])
+    squares = w @ np.linalg.solve(full, w)
+    return n * np.log(squares / n) + np.linalg.slogdet(full)[1] + n * (1 + np.log(2 * np.pi))
+
+
+def arma(rng, n, phi, theta):
+    e = rng.normal(size=n + 50)
+    x = np.zeros(n + 50)
+    for t in range(1, n + 50):
+        x[t] = phi * x[t - 1] + e[t] + theta * e[t - 1]
+    return x[50:]
+
+
+def test_deviance_is_the_exact_likelihood():
+    rng = np.random.default_rng(3)
+    for phi, theta in ((0.5, 0.3), (-0.8, 0.6), (0.95, -0.9), (0.0, 0.0)):
+        w = arma(rng, 60, phi, theta)
+        for a, b in ((phi, theta), (0.2, -0.4)):
+            assert float(arima_exact.deviance(w, a, b)[0]) == pytest.approx(kalman_deviance(w, a, b))
+
+
+def test_search_finds_the_best_point():
+    rng = np.random.default_rng(8)
+    for phi, theta in ((0.6, 0.3), (-0.5, -0.4), (0.8, -0.3)):
+        w = arma(rng, 600, phi, theta)
+        best = arima_exact.best_fit(w, (0.1, 0.1))
+        assert abs(best[0] - phi) < 0.15 and abs(best[1] - theta) < 0.15
+        fine = np.linspace(-0.01, 0.01, 21)
+        around, _ = arima_exact.deviance(w, *np.meshgrid(best[0] + fine, best[1] + fine))
+        assert best[2] <= around.min() + 1e-6 and best[2] <= float(arima_exact.deviance(w, 0.1, 0.1)[0])
+
+
+def test_exact_fit_is_never_worse_and_forecasts(spark):
+    rng = np.random.default_rng(5)
+    frames = [series(spark, [int(1000 + 40 * v) for v in np.cumsum(arma(rng, 150, 0.5, 0.3))], item=i) for i in range(1, 6)]
+    frames += [series(spark, [7, 7, 7, 7, 7, 7], item=90), series(spark, [3], item=91), series(spark, [1, 5, 2], item=92), series(spark, [None, None], item=93)]
+    train = frames[0]
+    for f in frames[1:]:
+        train = train.unionByName(f)
+    models = arima_exact.fit_exact(train)
+    rows = {r["item"]: r for r in models.collect()}
+    assert len(rows) == 9 and all(rows[i].deviance <= rows[i].start_deviance + 1e-9 for i in range(1, 6))
+    assert all(rows[i].phi is None for i in (90, 91, 92, 93))
+    test = series(spark, [0] * 4, item=1, start=(2020, 1))
+    for i in (90, 92):
+        test = test.unionByName(series(spark, [0] * 4, item=i, start=(2020, 1)))
+    got = {(r["item"], r.week_of_year): r.prediction for r in arima.forecast_from(models, test).collect()}
+    one = rows[1]
+    value, change = one.last_value, one["values"][0]
+    error = one.residuals[0]
+    for week in range(1, 4):
+        change, error = one.phi[0] * change + one.theta[0] * error, 0.0
+        value += change
+        assert got[1, week] == pytest.approx(value)
+    assert got[90, 1] == 7.0 and got[92, 1] == 2.0
+
+
+def test_lasso_meets_its_conditions():
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        z = rng.normal(size=(40, 12))
+        z[:, 5] = z[:, 4]  # columns that say the same
+        gram, right, penalty = z.T @ z, z.T @ rng.normal(size=40) * 3, 4.0
+        x = seasonal.lasso(gram, right, penalty)
+        pull = right - gram @ x
+        assert np.all(np.abs(pull) <= penalty + 1e-6)
+        assert np.allclose(pull[x != 0], penalty * np.sign(x[x != 0]), atol=1e-6)
+    assert np.all(seasonal.lasso(np.eye(3), np.array([0.5, -0.5, 2.0]), 1.0) == [0, 0, 1])
+
+
+def test_sparse_trend_bends_only_where_it_must(spark):
+    rng = np.random.default_rng(4)
+    straight = wave_rows(spark, [(iso, v + rng.normal(0, 2)) for iso, v in wave(200)])
+    broken = wave_rows(spark, [(iso, (v if n < 100 else v + 5 * (n - 100)) + rng.normal(0, 2)) for n, (iso, v) in enumerate(wave(200))])
+    none, some = seasonal.fit_seasonal(straight).first(), seasonal.fit_seasonal(broken).first()
+    assert len(none.bends) < len(some.bends) < seasonal.N_BENDS
+    assert len(some.coefficients) == 22 + len(some.bends)
+    got = seasonal.seasonal_forecast(broken, broken).collect()
+    assert max(abs(r.prediction - r.weekly_sales) / r.weekly_sales for r in got) < 0.05
+    sizes = dict(zip(some.bends, some.coefficients[22:]))
+    turn = (datetime.date(2012, 12, 31) + datetime.timedelta(weeks=100) - seasonal.ORIGIN).days / seasonal.YEAR_DAYS
+    assert sum(c for b, c in sizes.items() if abs(b - turn) < 0.5) > 0.8 * sum(sizes.values()) > 0
