@@ -8,13 +8,58 @@ from ..columns import RAW_SCHEMA
 UPLOAD_DATE_FORMATS = ("dd/MM/yyyy", "dd-MM-yyyy", "yyyy-MM-dd")
 
 
-def read_raw_sales(spark, path):
-    """Daily sales CSV. A field that does not parse becomes null."""
-    return spark.read.csv(
-        path, schema=RAW_SCHEMA, header=True, dateFormat="yyyy-MM-dd", mode="PERMISSIVE"
+REJECTED = "rejected_line"
+
+
+def parsed_sales(spark, path):
+    """Daily sales CSV with the text of every line that does not parse in ``rejected_line``.
+
+    An empty field is a null, not a fault; a field of another type, or a line with too few or
+    too many fields, is one. Header lines, of any file, and blank lines are no rows.
+    """
+    header = ",".join(f.name for f in RAW_SCHEMA)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_SCHEMA) + f", {REJECTED} string"
+    options = {"mode": "PERMISSIVE", "dateFormat": "yyyy-MM-dd", "columnNameOfCorruptRecord": REJECTED}
+    lines = spark.read.text(path).where((F.trim("value") != "") & (F.lower(F.translate("value", '" ', "")) != header))
+    return lines.select(F.from_csv("value", schema, options).alias("row")).select("row.*")
+
+
+def accepted_sales(parsed):
+    return parsed.where(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
+def rejected_sales(parsed):
+    """Reason and text of every rejected line; the first fault from the left is the reason."""
+    fields = F.split(REJECTED, ",", -1)
+    count = F.when(F.size(fields) < len(RAW_SCHEMA), "too few fields").when(F.size(fields) > len(RAW_SCHEMA), "too many fields")
+    # A value of another type: text that is there, and no value.
+    types = [
+        F.when((F.trim(F.get(fields, F.lit(k))) != "") & F.col(f.name).isNull(), f.name) for k, f in enumerate(RAW_SCHEMA)
+    ]
+    return parsed.where(F.col(REJECTED).isNotNull()).select(
+        F.coalesce(count, *types, F.lit("unreadable")).alias("reason"), F.col(REJECTED).alias("line")
     )
 
 
+def read_raw_sales(spark, path, rejected=None):
+    """Daily sales CSV.
+
+    Without ``rejected``, a field that does not parse becomes null. With it, lines that do not
+    parse are left out and written below that path, one folder per reason, before the rows
+    are returned.
+    """
+    if rejected is None:
+        return spark.read.csv(path, schema=RAW_SCHEMA, header=True, dateFormat="yyyy-MM-dd", mode="PERMISSIVE")
+    parsed = parsed_sales(spark, path)
+    rejected_sales(parsed).write.mode("overwrite").partitionBy("reason").parquet(rejected)
+    return accepted_sales(parsed)
+
+
+def read_rejected(spark, path):
+    """Lines that ``read_raw_sales`` wrote aside, with their reason; none if it found none."""
+    return spark.read.schema("line string, reason string").parquet(path).select("reason", "line")
+
+
 def holiday_dates(rows, column="Date", fmt="yyyy-MM-dd"):
     """One row per holiday date, however many names a date is listed under."""
     return (

@@ -12,23 +12,34 @@ def write_plain(df, path):
     return _confirmed(df.sparkSession, path)
 
 
-def write_by_store(df, path, sort=()):
-    """Overwrite a layer partitioned by store.
+def _by_store(df, sort):
+    """Writer of a layer partitioned by store.
 
     Rebalancing gathers a store's rows into few files and lets adaptive execution
     split a store that holds far more rows than the others over several tasks.
     """
     order = ["store", *[c for c in sort if c != "store"]]
-    (
-        df.hint("rebalance", F.col("store"))
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .partitionBy("store")
-        .parquet(path)
-    )
+    return df.hint("rebalance", F.col("store")).sortWithinPartitions(*order).write.partitionBy("store")
+
+
+def write_by_store(df, path, sort=()):
+    """Overwrite a layer partitioned by store."""
+    _by_store(df, sort).mode("overwrite").parquet(path)
     return _confirmed(df.sparkSession, path)
 
 
+def replace_stores(df, path, sort=()):
+    """Overwrite the partitions of the stores in ``df``, a stored table, and no others."""
+    _by_store(df, sort).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    return df.count()
+
+
+def add_by_store(df, path, sort=()):
+    """Add files to the partitions of the stores in ``df``, a stored table."""
+    _by_store(df, sort).mode("append").parquet(path)
+    return df.count()
+
+
 def sorted_for_export(df, sort, drop=()):
     """Rows in a total order: ties on ``sort`` are settled by the other columns, so
     many rows under one key still spread over range partitions."""

@@ -1,11 +1,15 @@
+import datetime
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from demandloom import sources
-from demandloom.columns import DAILY_COLUMNS, WEEK_KEY
-from demandloom.plans.full import run_all
-from demandloom.plans.lake import LAYERS, build_lake, layer_paths
+from demandloom.columns import DAILY_COLUMNS, GOLD_COLUMNS, WEEK_KEY, WEEKLY_COLUMNS
+from demandloom.plans import lake
+from demandloom.plans.full import first_open_stage, run_all
+from demandloom.plans.lake import LAYERS, build_lake, layer_paths, update_lake
+from demandloom.plans.training import train_and_compare
 from demandloom.plans.scoring import export_filtered, score_upload
 from demandloom.operators.regression import Regressor
 from demandloom.session import shared_folder
@@ -22,6 +26,24 @@ def test_raw_csv_is_typed_and_tolerant(spark, tmp_path):
         sources.read_raw_sales(spark, str(tmp_path / "absent.csv"))
 
 
+def test_rejected_lines_are_kept_with_their_reason(spark, tmp_path):
+    path, aside = tmp_path / "raw.csv", str(tmp_path / "rejected")
+    path.write_text(
+        "date,store,item,sales\n2013-01-01,1,2,3\n\n2013-01-02,,2,\nnot a date,1,x,4\n2013-01-03,1,2.5,4\n2013-01-04,1\n"
+        "2013-01-05,1,2,3,4\n2013-01-06,1,2,many\n"
+    )
+    rows = sources.read_raw_sales(spark, str(path), aside)
+    assert rows.schema == sources.read_raw_sales(spark, str(path)).schema
+    assert sorted(tuples(rows), key=str) == [(day("2013-01-01"), 1, 2, 3), (day("2013-01-02"), None, 2, None)] and rows.count() == 2
+    assert sorted(tuples(sources.read_rejected(spark, aside))) == [
+        ("date", "not a date,1,x,4"), ("item", "2013-01-03,1,2.5,4"), ("sales", "2013-01-06,1,2,many"),
+        ("too few fields", "2013-01-04,1"), ("too many fields", "2013-01-05,1,2,3,4"),
+    ]
+    path.write_text("date,store,item,sales\n2013-01-01,1,2,3\n")
+    assert sources.read_raw_sales(spark, str(path), aside).count() == 1
+    assert sources.read_rejected(spark, aside).count() == 0
+
+
 def test_holiday_csv_keeps_one_row_per_date(spark, tmp_path):
     path = tmp_path / "holidays.csv"
     path.write_bytes(
@@ -160,3 +182,85 @@ def test_shared_folder_needs_a_setting_on_clusters(spark):
         with pytest.raises(ValueError):
             shared_folder(Session(master=master), "x")
     assert "x-" in shared_folder(Session(master="local[4]"), "x")
+
+
+def lake_rows(spark, root, layer, columns):
+    return sorted(tuples(spark.read.parquet(layer_paths(root)[layer]).select(*columns).selectExpr(*[f"cast({c} as string)" for c in columns])), key=str)
+
+
+def test_increment_equals_a_rebuild(spark, tmp_path):
+    """New days at the end, late days in the middle, a repeated delivery, a new series, and stores left alone."""
+    start, off = datetime.date(2013, 1, 1), holidays(spark, "2013-07-04", "2015-07-04")
+    days = [(start + datetime.timedelta(days=n), s, i, (n * 7 + 3 * s + i) % 31) for n in range(1100) for s in (1, 2, 3) for i in (1, 2)]
+    days += [(datetime.date(2015, 12, 20), 2, 9, 5)]
+    frame = lambda rows: raw(spark, [(d.isoformat(), s, i, n) for d, s, i, n in rows])
+    late = datetime.date(2015, 10, 6)
+    first = [r for r in days if r[0] < datetime.date(2015, 11, 1) and not (r[1] == 1 and r[0] == late)]
+    second = [r for r in days if r[0] >= datetime.date(2015, 11, 1) and r[1] != 3] + [r for r in days if r[1] == 1 and r[0] == late]
+    third = [r for r in days if r[0] >= datetime.date(2015, 11, 1) and r[1] == 3]
+    whole, grown = str(tmp_path / "whole"), str(tmp_path / "grown")
+    build_lake(spark, whole, off, 2013, raw=frame(days), train_until=2014)
+    build_lake(spark, grown, off, 2013, raw=frame(first), train_until=2014)
+    untouched = sorted(p.name for p in (tmp_path / "grown/gold/features/store=3").glob("*.parquet"))
+    counts = update_lake(spark, grown, frame(second + second[:9]), off, 2013, 2014)
+    assert sorted(p.name for p in (tmp_path / "grown/gold/features/store=3").glob("*.parquet")) == untouched
+    assert set(counts) == {"silver_weekly", "gold"}
+    update_lake(spark, grown, frame(third), off, 2013, 2014)
+    update_lake(spark, grown, frame(third), off, 2013, 2014)  # a run that is repeated adds nothing
+    assert update_lake(spark, grown, frame([]), off, 2013, 2014) == {}
+    for layer, columns in (("silver_daily", DAILY_COLUMNS), ("silver_weekly", WEEKLY_COLUMNS), ("gold", GOLD_COLUMNS)):
+        assert lake_rows(spark, grown, layer, columns) == lake_rows(spark, whole, layer, columns)
+
+
+def test_increment_in_the_encoders_years_builds_gold_anew(spark, tmp_path):
+    start, off = datetime.date(2013, 1, 1), holidays(spark, "2013-07-04")
+    days = [((start + datetime.timedelta(days=n)).isoformat(), s, 1, (n * 7) % 31) for n in range(800) for s in (1, 2)]
+    whole, grown = str(tmp_path / "whole"), str(tmp_path / "grown")
+    build_lake(spark, whole, off, 2013, raw=raw(spark, days))
+    build_lake(spark, grown, off, 2013, raw=raw(spark, [d for d in days if d[1] == 1]))
+    update_lake(spark, grown, raw(spark, [d for d in days if d[1] == 2]), off, 2013)
+    assert lake_rows(spark, grown, "gold", GOLD_COLUMNS) == lake_rows(spark, whole, "gold", GOLD_COLUMNS)
+
+
+def test_training_goes_on_with_the_model_that_failed(spark, tmp_path, monkeypatch):
+    start, off = datetime.date(2013, 1, 1), holidays(spark, "2013-07-04")
+    days = [((start + datetime.timedelta(days=n)).isoformat(), s, 1, (n * 7 + s) % 31) for n in range(1200) for s in (1, 2)]
+    small = {"RandomForest": {"numTrees": 2, "maxDepth": 2}, "GradientBoosting": {"maxIter": 2, "maxDepth": 2}}
+    root, fitted, fit = str(tmp_path / "job"), [], Regressor.fit
+
+    def failing(self, train):
+        fitted.append(self.name)
+        if self.name == "GradientBoosting" and fitted.count(self.name) == 1:
+            raise RuntimeError("lost")
+        return fit(self, train)
+
+    monkeypatch.setattr(Regressor, "fit", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_all(spark, root, off, raw(spark, days), None, 2013, 2014, 2015, settings=small)
+    assert first_open_stage(spark, root) == "train"
+    run_all(spark, root, off, None, None, 2013, 2014, 2015, start=None, settings=small)
+    assert fitted == ["LinearRegression", "RandomForest", "GradientBoosting", "GradientBoosting"]
+    assert first_open_stage(spark, root) == "evaluate"
+    # Other settings, or layers built anew, leave no model complete.
+    gold = spark.read.parquet(layer_paths(root)["gold"])
+    train_and_compare(gold, f"{root}/training", 2014, 2015, small | {"RandomForest": {"numTrees": 3, "maxDepth": 2}}, resume=True)
+    assert fitted[4:] == ["RandomForest"]
+
+
+def test_a_layer_that_failed_is_written_again(spark, tmp_path, monkeypatch):
+    start, off = datetime.date(2013, 1, 1), holidays(spark, "2013-07-04")
+    days = raw(spark, [((start + datetime.timedelta(days=n)).isoformat(), s, 1, (n * 7 + s) % 31) for n in range(1200) for s in (1, 2)])
+    small = {"RandomForest": {"numTrees": 2, "maxDepth": 2}, "GradientBoosting": {"maxIter": 2, "maxDepth": 2}}
+    root, write = str(tmp_path / "job"), lake.write_by_store
+
+    def lost(df, path, sort=()):
+        if "weekly" in path:
+            raise RuntimeError("half written")
+        return write(df, path, sort)
+
+    monkeypatch.setattr(lake, "write_by_store", lost)
+    with pytest.raises(RuntimeError, match="half written"):
+        run_all(spark, root, off, days, None, 2013, 2014, 2015, settings=small)
+    assert first_open_stage(spark, root) == "silver_weekly"
+    monkeypatch.setattr(lake, "write_by_store", write)
+    assert run_all(spark, root, off, None, None, 2013, 2014, 2015, start=None, settings=small).count() == 5
