@@ -7,13 +7,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..columns import GOLD_SCALARS, TEST_YEAR, TRAIN_UNTIL
-from ..operators import arima, seasonal
+from ..operators import arima, arima_exact, seasonal
 from ..operators.evaluation import compare_models, metrics_by_model
 from ..operators.regression import DEFAULTS, ESTIMATORS, Regressor
 from ..operators.selection import split_by_year
 from ..sources.writers import write_metrics, write_plain
 
-PER_SERIES = {"ARIMA": (arima, arima.fit_arima), "Seasonal": (seasonal, seasonal.fit_seasonal)}
+TREES = ("RandomForest", "GradientBoosting")
+PER_SERIES = {"ARIMA": (arima, arima_exact.fit_exact), "Seasonal": (seasonal, seasonal.fit_seasonal)}
 
 
 def _finished(spark, path, made_of):
@@ -29,6 +30,8 @@ def train_and_compare(gold, root, train_until=TRAIN_UNTIL, test_year=TEST_YEAR,
     """Fit all five forecasters, save them and their metrics below ``root`` and
     return the stored metric table, lowest rmse first.
 
+    ARIMA is fitted by exact likelihood. Tree models are stored as node tables too, which
+    ``scoring.score_by_nodes`` reads without MLlib.
     ``settings`` overrides regressor parameters by model name. A model is complete when its
     own metrics row is stored. With ``resume``, complete models of the same settings and years
     are taken as they are, so a run that failed goes on with the model that failed; give it only
@@ -46,6 +49,8 @@ def train_and_compare(gold, root, train_until=TRAIN_UNTIL, test_year=TEST_YEAR,
         if name in ESTIMATORS:
             model = Regressor(name, **settings.get(name, {})).fit(train)
             model.save(f"{root}/models/{name}")
+            if name in TREES:
+                write_plain(model.nodes(train), f"{root}/nodes/{name}")
             return model.predict(test)
         # Fitted once: the forecasts come from the stored coefficients.
         module, fit = PER_SERIES[name]

@@ -24,7 +24,7 @@ from ..operators import (
 )
 from ..plans.lake import build_lake, layer_paths, update_lake
 from ..plans.monitoring import check_forecaster
-from ..plans.scoring import export_filtered, score_upload
+from ..plans.scoring import export_filtered, score_by_nodes, score_upload
 from ..plans.training import train_and_compare
 from ..session import shared_folder
 from ..sources import (
@@ -390,6 +390,15 @@ def given_forest_importances(spark, d):
     return rounded(trees.importances(scaled), "importance")
 
 
+def upload_forest_scores(spark, d):
+    """Uploaded weeks scored by a stored forest over the weekly layer's history."""
+    path = shared_folder(spark, "nodes")
+    write_plain(given_nodes(spark), path)
+    nodes = spark.read.schema(trees.NODE_DDL).parquet(path)
+    found = score_by_nodes(upload(spark, d), holidays(spark, d), weekly(spark, d), nodes, BASE_YEAR)
+    return rounded(found, "sales_prediction")
+
+
 def feature_importances(spark, d):
     rows = stored_gold(spark, d)
     train, _ = selection.split_by_year(rows, TRAIN_UNTIL, TEST_YEAR)
@@ -797,6 +806,7 @@ def queries():
         "given_forest_scores": given_forest_scores,
         "given_forest_walk": given_forest_walk,
         "given_forest_importances": given_forest_importances,
+        "upload_forest_scores": upload_forest_scores,
         "random_forest": regressor("RandomForest"),
         "gradient_boosting": regressor("GradientBoosting"),
         "model_training": model_training,

@@ -30,7 +30,7 @@ def test_every_oracle_has_a_query():
 
 
 #: Trees and exact searches walk in Python tasks.
-IN_PYTHON = {"tree_fit", "boosted_fit", "forest_tables", "given_forest_scores"}
+IN_PYTHON = {"tree_fit", "boosted_fit", "forest_tables", "given_forest_scores", "upload_forest_scores"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

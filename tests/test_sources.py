@@ -10,7 +10,8 @@ from demandloom.plans import lake
 from demandloom.plans.full import first_open_stage, run_all
 from demandloom.plans.lake import LAYERS, build_lake, layer_paths, update_lake
 from demandloom.plans.training import train_and_compare
-from demandloom.plans.scoring import export_filtered, score_upload
+from demandloom.operators.trees import NODE_DDL
+from demandloom.plans.scoring import export_filtered, score_by_nodes, score_upload
 from demandloom.operators.regression import Regressor
 from demandloom.session import shared_folder
 from helpers import day, holidays, raw, series, tuples
@@ -135,6 +136,25 @@ def test_upload_file_with_unreadable_dates(spark, tmp_path):
     assert tuples(scored) == [(1, 1, 2017, 14, 5.0)]
 
 
+def test_upload_scored_by_a_stored_forest(spark):
+    """Weeks with and without stored history, an unknown series, unreadable dates."""
+    history = series(spark, [10 * n for n in range(1, 61)], start=(2016, 1))
+    nodes = spark.createDataFrame(
+        [
+            (0, 0, "lag_1_week", None, 300.0, 1, 2, 0.0, 1.0, 1.0, 2.0),
+            (0, 1, None, None, None, None, None, 1.0, 1.0, None, 1.0),
+            (0, 2, None, None, None, None, None, 2.0, 1.0, None, 1.0),
+        ],
+        NODE_DDL,
+    )
+    upload = spark.createDataFrame(
+        [("11/01/2016", 1, 1), ("12/01/2016", 1, 1), ("2016-12-12", 1, 1), ("27-02-2017", 1, 1), ("06/03/2017", 1, 1), ("06/03/2017", 9, 9), ("never", 1, 1)],
+        "date string, store int, item int",
+    )
+    got = sorted(tuples(score_by_nodes(upload, holidays(spark, "2016-01-11"), history, nodes, 2013)))
+    assert got == [(1, 1, 2016, 2, 1.0), (1, 1, 2016, 50, 2.0), (1, 1, 2017, 9, 2.0), (1, 1, 2017, 10, 2.0), (9, 9, 2017, 10, 2.0)]
+
+
 def test_filtered_export(spark, tmp_path):
     rows = spark.createDataFrame(
         [(s, 1, 2017, w, 1.5) for s in (1, 2, 3) for w in range(1, 6)],
