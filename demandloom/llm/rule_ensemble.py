@@ -195,7 +195,12 @@ def labelled_statistics(docs, labels, label="quality", id_col="doc_id", text_col
 
 
 def score_quality(docs, model, threshold=0.3, id_col="doc_id", text_col="text"):
-    """doc_id, score from 0 to 1 and predicted label of every row of ``docs``."""
+    """doc_id, score from 0 to 1 and predicted label of every row of ``docs``.
+
+    A null text is scored like an empty one, by statistics that are all 0; a score equal to the
+    threshold predicts 1; repeated rows are scored each for itself, null ids are kept, an empty
+    table gives no rows, and other columns are not read.
+    """
     return statistics(docs, id_col, text_col).select(
         "doc_id", model.score().alias("score")
     ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

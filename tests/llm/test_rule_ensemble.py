@@ -1,4 +1,7 @@
+import math
 import random
+import re
+import unicodedata
 
 import pytest
 
@@ -60,3 +63,64 @@ def test_held_out_accuracy(spark, sf):
     model = r.fit(r.labelled_statistics(docs, labels.where(fold("doc_id", 5) != 0)))
     held = labels.where(fold("doc_id", 5) == 0).join(r.score_quality(docs, model), "doc_id")
     assert held.where("predicted = quality").count() >= 0.93 * held.count()
+
+
+def brute_statistics(text):
+    """Every statistic counted anew from the text's characters."""
+    text = text or ""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
+    lines = [line for line in text.split("\n") if line]
+    ratio = lambda part, whole: part / whole if whole else 0.0
+    count = lambda letters: sum(ch in letters for ch in text)
+    return {
+        "words": math.log1p(len(words)),
+        "word_chars": ratio(sum(map(len, words)), len(words)),
+        "marks": ratio(count(r.MARKS), len(words)),
+        "digits": ratio(count("0123456789"), len(text)),
+        "stops": ratio(count(".,;:?!"), len(words)),
+        "capitals": ratio(sum(unicodedata.category(ch) == "Lu" for ch in text), len(text)),
+        "distinct": ratio(len(set(words)), len(words)),
+        "stutter": ratio(sum(a == b for a, b in zip(words, words[1:])), len(words)),
+        "repeated_lines": ratio(len(lines) - len(set(lines)), len(lines)),
+        "line_words": math.log1p(ratio(len(words), len(lines))),
+        "common": ratio(sum(w in r.STOP_WORDS for w in words), len(words)),
+    }
+
+
+def test_statistics_rules_and_score_by_brute_force(spark, odd_docs):
+    """Statistics from the characters, rules by their limits, the score by its odds."""
+    docs, labels = labelled(spark, 120)
+    model = r.fit(r.labelled_statistics(docs, labels))
+    assert model.rules and model.slopes
+    texts = ["Ein Fluß\n\nein ein FLUSS 12!", "a\tb\x0bc\n a b c", "ÄÖ é Ω the of", "# ## $ {x} [y]", "one one\none one\n\n"]
+    mixed = docs.unionByName(spark.createDataFrame([(9000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    mixed = mixed.unionByName(odd_docs.select("doc_id", "text").where("doc_id is not null").selectExpr("doc_id + 20000 as doc_id", "text"))
+    own = {x["doc_id"]: x["text"] for x in mixed.collect()}
+    for x in r.statistics(mixed).collect():
+        want = brute_statistics(own[x["doc_id"]])
+        assert {k: pytest.approx(v, abs=1e-12) for k, v in want.items()} == {k: x[k] for k in r.STATISTICS}, own[x["doc_id"]][:60]
+    for x in r.score_quality(mixed, model).collect():
+        s = brute_statistics(own[x["doc_id"]])
+        odds = model.intercept + sum(w * s[n] for n, w in model.slopes.items())
+        odds += sum(w for rule, w in model.rules if all(s[n] <= v if op == "<=" else s[n] > v for n, op, v in rule.limits))
+        assert x["score"] == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-9)
+        assert x["predicted"] == int(x["score"] >= 0.3)
+
+
+def test_weights_meet_the_conditions_of_the_lasso(spark):
+    """At the optimum each kept weight's gradient is the penalty on its standardised size, against its sign."""
+    docs, labels = labelled(spark, 120)
+    rows = r.labelled_statistics(docs, labels)
+    model, data = r.fit(rows), [x.asDict() for x in rows.collect()]
+    values = [[float(all(x[n] <= v if op == "<=" else x[n] > v for n, op, v in rule.limits)) for x in data] for rule, _ in model.rules]
+    values += [[x[n] for x in data] for n in model.slopes]
+    weights = [w for _, w in model.rules] + list(model.slopes.values())
+    odds = [model.intercept + sum(w * v[k] for w, v in zip(weights, values)) for k in range(len(data))]
+    errors = [1 / (1 + math.exp(-o)) - x["quality"] for o, x in zip(odds, data)]
+    n = len(data)
+    assert abs(sum(errors) / n) < 1e-3
+    for w, v in zip(weights, values):
+        mean = sum(v) / n
+        spread = math.sqrt(sum((x - mean) ** 2 for x in v) / (n - 1))
+        gradient = sum(e * x for e, x in zip(errors, v)) / n
+        assert gradient == pytest.approx(-r.LASSO * spread * math.copysign(1, w), abs=2e-4)
