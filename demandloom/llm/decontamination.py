@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.ordered import stored_in_order, with_running
 from ..session import shared_folder
 from .fm_index import FMIndex
-from .rows import map_slices
+from .rows import map_slices, row_and_text
 
 WINDOW = 10
 #: Words in a shard's index are at most these plus one slice of documents.
@@ -249,10 +249,7 @@ def remove_contamination(
     without a hit stay as they are; null item texts and items without a word cut nothing;
     repeated rows are cut each for itself; other columns pass unchanged.
     """
-    others = [f for f in docs.schema if f.name != text_col]
-    row = F.struct(*[F.col(f"`{f.name}`") for f in others], F.lit(0).alias("_one"))
-    frame = docs.select(row.alias("row"), F.col(text_col).alias("text"))
-    columns = f"row {frame.schema['row'].dataType.simpleString()}"
+    frame, columns, back = row_and_text(docs, text_col)
     blocks = phrase_blocks(benchmark, item_col, item_text_col, block_bytes)
     if len(blocks) == 1:
         rounds = [_cut_to_the_end(frame, docs.sparkSession.sparkContext.broadcast(Phrases(blocks[0](), window)), columns)]
@@ -264,10 +261,7 @@ def remove_contamination(
             frame = _stored(_cut(found.where(F.size("word_spans") > 0), columns))
             if frame.isEmpty():
                 break
-    kept = reduce(DataFrame.union, rounds)
-    return kept.select(
-        *[(F.col("text") if f.name == text_col else F.col("row").getField(f.name)).alias(f.name) for f in docs.schema]
-    )
+    return back(reduce(DataFrame.union, rounds))
 
 
 def _kept_rows(held, texts, gone):

@@ -28,6 +28,19 @@ def map_slices(df, work, ddl):
     return df.mapInArrow(run, schema)
 
 
+def row_and_text(docs, text_col):
+    """``docs`` as two columns, a struct ``row`` of all others and ``text``, so that columns of any
+    name pass a Python task unread; the schema text of ``row``; and the way back."""
+    others = [f.name for f in docs.schema if f.name != text_col]
+    row = F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias("_one"))
+    frame = docs.select(row.alias("row"), F.col(text_col).alias("text"))
+
+    def back(changed):
+        return changed.select(*[(F.col("text") if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])
+
+    return frame, f"row {frame.schema['row'].dataType.simpleString()}", back
+
+
 def texts_of(batch, id_col, text_col):
     """Ids and texts of a slice; a null text is empty."""
     return batch.column(id_col).to_pylist(), [t or "" for t in batch.column(text_col).to_pylist()]

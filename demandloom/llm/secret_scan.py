@@ -15,10 +15,7 @@ import math
 import re
 from bisect import bisect_right
 
-import pandas as pd
-from pyspark.sql import functions as F
-
-from .rows import map_slices, texts_of
+from .rows import map_slices, row_and_text, texts_of
 
 # The patterns and their least lengths.
 ASSIGN = re.compile(
@@ -224,10 +221,16 @@ def masked(text, mark="[SECRET]"):
 
 
 def mask_secrets(docs, text_col="text", mark="[SECRET]"):
-    """``docs`` with secrets in the text column replaced by ``mark``; null stays null."""
+    """``docs`` with secrets in the text column replaced by ``mark``; null stays null.
+
+    Texts go by in small slices, and every other column passes unchanged, whatever its name.
+    Empty texts stay empty and repeated rows stay repeated.
+    """
+    frame, columns, back = row_and_text(docs, text_col)
 
-    @F.pandas_udf("string")
-    def masks(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: masked(t, mark), na_action="ignore")
+    def work(slices):
+        for batch in slices:
+            texts = batch.column("text").to_pylist()
+            yield {"row": batch.column("row"), "text": [None if t is None else masked(t, mark) for t in texts]}
 
-    return docs.withColumn(text_col, masks(F.col(text_col)))
+    return back(map_slices(frame, work, f"{columns}, text string"))
