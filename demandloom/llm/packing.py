@@ -27,7 +27,7 @@ DEPTH = 3
 BLOCK_TOKENS = 4_000_000
 BLOCK_DOCS = 100_000
 #: Bytes that a worker's kept pieces and their ids take at most; beyond it the cache starts anew.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 160 << 20
 #: Longer pieces are seldom met again and not kept.
 CACHED_LENGTH = 64
 #: Bytes that an entry takes besides its texts, roughly.
