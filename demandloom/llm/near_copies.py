@@ -1,36 +1,56 @@
 """One document of each group whose five-word shingles agree to four fifths.
 
-At a similarity of 0.8 fingerprints of 64 bits differ in about ten, too many for keys
-that tell documents apart. Candidates come from bands of minima instead, and each is
-tested on the whole sets of shingles, so nothing goes that is not close to a row kept.
-
-Of a band's documents each is tested against one head only, the least of an order that
-changes from round to round, so a group gives tests in proportion to its size. Pairs whose
-numbers of shingles are too far apart cannot be close and are not tested. A document
-goes if it is close to a head that itself stays. Rounds end when neither the order of ids
-nor a random one drops anything more. Each round is a stored table.
+Candidates come by the method of ``simhash``, fingerprints and pigeonring chains, and each is
+tested on the whole sets of shingles, so nothing goes that is not close to a row kept. At a
+similarity of 0.8 three bits of 64 are far too few: a tenth to a sixth of all bits differ. So a
+fingerprint here has 1,280 bits, a ring of 160 segments of eight. If two differ in fewer bits
+than half the segments, then from some segment on a chain of two segments has a budget of none:
+the two agree there. That start and the two segments are the key. Beyond that distance no start
+must agree, but 160 may: at 0.8 some one does but for a few pairs in ten thousand. The chain is
+then followed over 16 segments, with a budget of its own, before a pair is a candidate.
+
+Documents are numbered by id. Within a key each is paired with the first few candidates before it,
+and it is tested against the first of all that are not gone, then against four times as many, and so
+on. So a group of near copies gives tests in proportion to its size and to the rows that stay of it.
+The whole ring has a budget too, and only pairs within it have their sets looked up. A document goes
+if it is close to one that stays, and one stays for good when all its candidates before it are
+tested or gone. Documents whose keys had more candidates go through those keys again, with a greater
+number each time, until every candidate that is not gone is tested. Each round is a stored table.
 """
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
 from .rows import map_slices, row_and_text, texts_of
-from .simhash import signed, words_of
+from .simhash import KEY_BLOCK, signed, words_of
 
 SHINGLE = 5
 #: Least similarity as a fraction of whole numbers.
 SIMILAR = (4, 5)
-#: At 0.8 two documents share none of the bands once in 17,000 times.
-BANDS = 32
-BAND_ROWS = 6
+#: Segments of the ring, one byte each.
+SEGMENTS = 160
+#: Segments of a chain, the first two of which are the key, and the bits that the others may differ in.
+CHAIN = 16
+BUDGET = 24
+#: Bits that whole rings may differ in: at 0.8 they differ in 192 with a deviation of 13.
+RING_BUDGET = 245
+#: Candidates before a document that each of its keys gives in the first pass, and their growth.
+HEADS = 8
+HEADS_GROWTH = 8
+#: Growth of the number of a document's candidates that a round tests; the first round tests one.
+TESTS_GROWTH = 4
 SEED = 42
-#: Shingles whose minima are taken at once.
-CHUNK = 2048
+#: Shingles added up at once: their counts of bits fit a byte.
+CHUNK = 255
+#: Fingerprints, or rows of keys, handled together.
+RINGS = 1024
+CHAINS = 65536
 
-_random = np.random.default_rng(SEED)
-FACTORS = _random.integers(0, 1 << 63, (BANDS * BAND_ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SHIFTS = _random.integers(0, 1 << 63, (BANDS * BAND_ROWS, 1), dtype=np.uint64)
+# Streams of 64 bits per shingle, mixed as in SplitMix64.
+STREAMS = np.random.default_rng(SEED).integers(0, 1 << 63, SEGMENTS // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+MIXERS = ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))
 
 
 def shingles(words):
@@ -44,15 +64,112 @@ def shingles(words):
     return np.unique(np.fromiter((digest(s, SEED) for s in parts), dtype=np.uint64, count=len(words) - SHINGLE + 1))
 
 
-def band_keys(hashes):
-    """One key per band: the hash of its number and its minima."""
-    import xxhash
-
-    least = None
+def ring(hashes):
+    """The fingerprint as 64-bit numbers, one byte per segment: a bit is set if it is set for over half of the shingles."""
+    counts = np.zeros(SEGMENTS * 8, dtype=np.int64)
     for at in range(0, len(hashes), CHUNK):
-        now = ((hashes[at : at + CHUNK] * FACTORS + SHIFTS) >> np.uint64(32)).min(axis=1)
-        least = now if least is None else np.minimum(least, now)
-    return [signed(xxhash.xxh64_intdigest(row.tobytes(), k)) for k, row in enumerate(least.reshape(BANDS, BAND_ROWS))]
+        mixed = hashes[at : at + CHUNK, None] + STREAMS
+        for shift, factor in MIXERS:
+            mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+        mixed ^= mixed >> np.uint64(31)
+        counts += np.unpackbits(mixed.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(hashes)).view(np.int64).tolist()
+
+
+def _keys(rings):
+    """Key of each segment of each ring: its number, it and the next one."""
+    return np.arange(SEGMENTS, dtype=np.int32) << 16 | rings.astype(np.int32) << 8 | np.roll(rings, -1, axis=1)
+
+
+def _rings(batch):
+    return batch.column("ring").flatten().to_numpy().view(np.uint8).reshape(-1, SEGMENTS)
+
+
+def chains(nodes):
+    """(key, rank, a, b) for each segment of each node: the chain from there on as two numbers."""
+
+    def work(slices):
+        for batch in slices:
+            rings = _rings(batch)
+            around = np.concatenate([rings, rings[:, : CHAIN - 1]], axis=1)
+            parts = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(around, CHAIN, axis=1)).view(np.int64)
+            ranks = np.repeat(batch.column("rank").to_numpy(), SEGMENTS)
+            yield {"key": _keys(rings).ravel(), "rank": ranks, "a": parts[..., 0].ravel(), "b": parts[..., 1].ravel()}
+
+    return map_slices(nodes.select("rank", "ring"), work, "key int, rank long, a long, b long", RINGS)
+
+
+def hot_keys(nodes):
+    """Keys of over ``KEY_BLOCK`` nodes, and the number of blocks that they are dealt out in.
+
+    Only keys that come twice in a slice are counted, so a key near the limit may be left out.
+    """
+
+    def work(slices):
+        for batch in slices:
+            keys, n = np.unique(_keys(_rings(batch)), return_counts=True)
+            yield {"key": keys[n > 1], "n": n[n > 1]}
+
+    counts = map_slices(nodes.select("rank", "ring"), work, "key int, n long", 4 * RINGS).groupBy("key").agg(F.sum("n").alias("n"))
+    return counts.where(F.col("n") > KEY_BLOCK).select("key", F.ceil(F.col("n") / (KEY_BLOCK // 2)).cast("int").alias("blocks"))
+
+
+def _dealt(keyed, hot):
+    """Rows of hot keys, once for each pair of blocks that has the block of the row."""
+    block = F.pmod(F.xxhash64("rank"), F.col("blocks")).cast("int")
+    both = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.struct(F.least(other, block).alias("low"), F.greatest(other, block).alias("high"), (block > other).cast("int").alias("side")),
+    )
+    return keyed.join(hot, "key").select("key", "rank", "a", "b", F.inline(both))
+
+
+def _met(keyed, by, most):
+    """(key, head, rank): per group the first ``most`` candidates before each row; a head of -1 says that there are more."""
+    ordered = keyed.repartition(*by).sortWithinPartitions(*by, "rank")
+
+    def work(slices):
+        import pyarrow as pa
+
+        held = None
+        for batch in slices:
+            now = pa.Table.from_batches([batch])
+            held = now if held is None else pa.concat_tables([held, now])
+            names = [held[c].to_numpy() for c in by]
+            change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in names], axis=0)) + 1
+            if not len(change):
+                continue
+            yield from _met_in(held.slice(0, int(change[-1])), by, most)
+            held = held.slice(int(change[-1])).combine_chunks()
+        if held is not None:
+            yield from _met_in(held, by, most)
+
+    return map_slices(ordered, work, "key int, head long, rank long", CHAINS)
+
+
+def _met_in(table, by, most):
+    key, rank, *names = (table[c].to_numpy() for c in ("key", "rank", *by))
+    a, b = (table[c].to_numpy().view(np.uint64) for c in "ab")
+    opens = np.concatenate([[True], np.any([c[1:] != c[:-1] for c in names], axis=0)])
+    first = np.maximum.accumulate(np.where(opens, np.arange(len(key)), 0))
+    place, found = np.arange(len(key)) - first, np.zeros(len(key), dtype=np.int64)
+    left, at, heads, rows = np.flatnonzero(place), 0, [], []
+    while len(left):
+        head = first[left] + at
+        close = np.bitwise_count(a[left] ^ a[head]) + np.bitwise_count(b[left] ^ b[head]) <= BUDGET
+        if "side" in table.column_names:
+            side, low, high = (table[c].to_numpy() for c in ("side", "low", "high"))
+            close &= (side[left] != side[head]) | (low[left] == high[left])
+        mine, head = left[close], head[close]
+        heads.append(np.where(found[mine] < most, rank[head], -1))
+        rows.append(mine)
+        found[mine] += 1
+        at += 1
+        left = left[(place[left] > at) & (found[left] <= most)]
+        if not len(left) or sum(map(len, rows)) > CHAINS:
+            own = np.concatenate(rows)
+            yield {"key": key[own], "head": np.concatenate(heads), "rank": rank[own]}
+            heads, rows = [], []
 
 
 def node_of(words):
@@ -75,15 +192,15 @@ def _mapped(docs, ddl, make):
     return map_slices(docs, work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, {ddl}")
 
 
-def _banded(words):
-    hashes = shingles(words)
-    return band_keys(hashes), len(hashes)
+def _ringed(words):
+    return (ring(shingles(words)),)
 
 
 def dropped_nodes(docs, id_col="doc_id", text_col="text"):
-    """node and doc_id of all rows, and the nodes that are close to one that stays.
+    """rank, node and least_id of all nodes, and the ranks of those that are close to one that stays.
 
-    A node is a text as words, so equal texts are one node. Its id is its least doc_id.
+    A node is a text as words, so equal texts are one node. Its id is its least doc_id, and
+    ranks go by that id and then by the node.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -93,61 +210,77 @@ def dropped_nodes(docs, id_col="doc_id", text_col="text"):
         frame.write.parquet(f"{path}/{name}")
         return spark.read.parquet(f"{path}/{name}")
 
-    rows = stored(_mapped(docs, "bands array<long>, size int", _banded), "rows")
-    named = rows.where("doc_id is not null")
-    nodes = stored(
-        named.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("bands").alias("bands"), F.first("size").alias("size")), "nodes"
-    )
-    keyed = nodes.select("node", "least_id", "size", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    keyed = stored(keyed.join(shared, "key"), "keyed")
-
-    wanted = keyed.select("node", F.col("least_id").alias("doc_id")).distinct()
-    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
-    found = _mapped(texts, "hashes array<long>", lambda w: (shingles(w).view(np.int64).tolist(),))
-    sets = stored(found.join(wanted, ["node", "doc_id"], "left_semi").dropDuplicates(["node"]).select("node", "hashes"), "sets")
-
     def so_far(name, ddl, count):
         """The tables of all rounds so far in one scan."""
         return spark.read.schema(ddl).parquet(*[f"{path}/{name}-{k}" for k in range(count)]) if count else spark.createDataFrame([], ddl)
 
-    number = quiet = 0
-    while quiet < 2:
-        order = F.col("least_id") if number % 2 == 0 else F.xxhash64("node", F.lit(number))
-        gone, tested = so_far("gone", "node long", number), so_far("pairs", "a long, b long", number)
-        open_keys = keyed.join(gone, "node", "left_anti")
-        heads = open_keys.groupBy("key").agg(F.min(F.struct(order.alias("o"), "least_id", "node", "size")).alias("head"))
-        sized = F.least("size", "head.size") * SIMILAR[1] >= F.greatest("size", "head.size") * SIMILAR[0]
-        pairs = open_keys.join(heads, "key").where("node <> head.node").where(sized)
-        # The lesser id stays; nodes that share an id go by their number.
-        mine, other = F.struct("least_id", "node"), F.struct("head.least_id", "head.node")
-        pairs = pairs.select(
-            F.least(mine, other)["node"].alias("a"), F.greatest(mine, other)["node"].alias("b")
-        )
-        # Heads come again; a pair is tested once. Later rounds have few pairs, whose sets are
-        # looked up without moving all sets.
-        pairs = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), f"pairs-{number}")
-        side = lambda c: F.max(F.when(F.col("node") == F.col(c), F.col("hashes")))
-        met = (
-            pairs.withColumn("node", F.explode(F.array("a", "b")))
-            .join(sets, "node")
-            .groupBy("a", "b")
-            .agg(side("a").alias("x"), side("b").alias("y"))
-        )
-        both = F.size(F.array_intersect("x", "y"))
-        close = met.where(both * SIMILAR[1] >= (F.size("x") + F.size("y") - both) * SIMILAR[0]).select("a", "b")
-        if pairs.isEmpty():
-            close = pairs
-        stored(close, f"close-{number}")
-        # Of all pairs known to be close whose nodes both stay so far: while there is one, there is a head.
-        known = so_far("close", "a long, b long", number + 1)
-        left = known.join(gone.withColumnRenamed("node", "a"), "a", "left_anti").join(gone.withColumnRenamed("node", "b"), "b", "left_anti")
-        left = stored(left.select("a", "b"), f"open-{number}")
-        heads = left.select("a").distinct().join(left.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
-        now = stored(left.join(heads, "a", "left_semi").select(F.col("b").alias("node")).distinct(), f"gone-{number}")
-        quiet = quiet + 1 if now.isEmpty() else 0
+    rows = stored(_mapped(docs.where("doc_id is not null"), "ring array<long>", _ringed), "rows")
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("ring").alias("ring"))
+    # In the order of ids the numbers of rows grow, whatever the type of the ids.
+    nodes = stored(nodes.orderBy("least_id", "node").withColumn("rank", F.monotonically_increasing_id()), "nodes")
+
+    def without(pairs, gone):
+        return pairs.join(gone.withColumnRenamed("rank", "a"), "a", "left_anti").join(gone.withColumnRenamed("rank", "b"), "b", "left_anti")
+
+    number = tests = steps = 0
+    keys = None
+    while True:
+        # The first pass takes all nodes, later ones the keys in which candidates were left out.
+        here = nodes.join(so_far("gone", "rank long", steps), "rank", "left_anti")
+        most = HEADS * HEADS_GROWTH**number
+        keyed = chains(here) if keys is None else chains(here).join(keys, "key", "left_semi")
+        hot = stored(hot_keys(here), f"hot-{number}")
+        if hot.isEmpty():
+            met = _met(keyed, ["key"], most)
+        else:
+            met = _met(keyed.join(hot, "key", "left_anti"), ["key"], most).union(_met(_dealt(keyed, hot), ["key", "low", "high"], most))
+        met = stored(met, f"met-{number}")
+        more = met.where("head < 0").select("key", "rank")
+        pairs = met.where("head >= 0").select(F.col("head").alias("a"), F.col("rank").alias("b")).distinct()
+        candidates = stored(pairs, f"candidates-{number}")
+
+        share = 1
+        while True:
+            left = without(candidates, so_far("gone", "rank long", steps)).join(so_far("pairs", "a long, b long", tests), ["a", "b"], "left_anti")
+            left = left.withColumn("place", F.row_number().over(Window.partitionBy("b").orderBy("a")))
+            waiting = stored(left.where(F.col("place") == share + 1).select(F.col("b").alias("rank")), f"waiting-{tests}")
+            pairs = stored(left.where(F.col("place") <= share).select("a", "b"), f"pairs-{tests}")
+            stored(_close(docs, nodes, pairs, lambda frame, name: stored(frame, f"{name}-{tests}")), f"close-{tests}")  # noqa: B023
+            tests += 1
+            while True:
+                # Of the close pairs whose nodes are both open, a head is the later one of none and waits for no candidate.
+                left = stored(without(so_far("close", "a long, b long", tests), so_far("gone", "rank long", steps)), f"open-{steps}")
+                unsettled = left.select("b").union(more.select("rank")).union(waiting).toDF("a").distinct()
+                heads = left.select("a").distinct().join(unsettled, "a", "left_anti")
+                now = stored(left.join(heads, "a", "left_semi").select(F.col("b").alias("rank")).distinct(), f"gone-{steps}")
+                steps += 1
+                if now.isEmpty():
+                    break
+            if waiting.isEmpty():
+                break
+            share *= TESTS_GROWTH
+        gone = so_far("gone", "rank long", steps)
+        keys = stored(more.join(gone, "rank", "left_anti").select("key").distinct(), f"keys-{number}")
+        if keys.isEmpty():
+            return nodes, gone
         number += 1
-    return nodes, so_far("gone", "node long", number)
+
+
+def _close(docs, nodes, pairs, stored):
+    """The pairs of which the sets of shingles are close."""
+    for c, ring_of in (("a", "p"), ("b", "q")):
+        pairs = pairs.join(nodes.select(F.col("rank").alias(c), F.col("ring").alias(ring_of)), c)
+    differ = F.aggregate(F.zip_with("p", "q", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda x, y: x + y)
+    near = stored(pairs.where(differ <= RING_BUDGET).select("a", "b"), "near")
+    ends = near.withColumn("rank", F.explode(F.array("a", "b")))
+    wanted = ends.select("rank").distinct().join(nodes, "rank").select("rank", "node", F.col("least_id").alias("doc_id"))
+    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    found = _mapped(texts, "hashes array<long>", lambda w: (shingles(w).view(np.int64).tolist(),))
+    sets = stored(found.join(wanted, ["node", "doc_id"]).dropDuplicates(["rank"]).select("rank", "hashes"), "sets")
+    side = lambda c: F.max(F.when(F.col("rank") == F.col(c), F.col("hashes")))
+    met = ends.join(sets, "rank").groupBy("a", "b").agg(side("a").alias("x"), side("b").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    return met.where(both * SIMILAR[1] >= (F.size("x") + F.size("y") - both) * SIMILAR[0]).select("a", "b")
 
 
 def keep_one(docs, id_col="doc_id", text_col="text"):
@@ -159,7 +292,7 @@ def keep_one(docs, id_col="doc_id", text_col="text"):
     columns may have any names.
     """
     nodes, gone = dropped_nodes(docs, id_col, text_col)
-    keep = nodes.join(gone, "node", "left_anti").select(F.col("node").alias("kept_node"), F.col("least_id").alias("kept_id"))
+    keep = nodes.join(gone, "rank", "left_anti").select(F.col("node").alias("kept_node"), F.col("least_id").alias("kept_id"))
 
     frame, columns, back = row_and_text(docs, text_col)
     own_id = F.col("row").getField(id_col)

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from demandloom.llm import near_copies as n
 
 
@@ -76,3 +79,32 @@ def test_recall_in_a_corpus_of_one_template(spark):
     kept = [r[1] for r in n.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()]
     assert len(kept) == 150
     assert not any(similarity(x, y) >= 0.8 for i, x in enumerate(kept) for y in kept[:i])
+
+
+def test_candidates_are_chains_of_fingerprints(spark):
+    """Sets that share four fifths meet in a key by fingerprints and chains alone; others don't."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(300):
+        common, own, other = (rng.integers(0, 1 << 63, size, dtype=np.uint64) for size in (160, 20, 20))
+        rows += [(2 * k, n.ring(np.concatenate([common, own]))), (2 * k + 1, n.ring(np.concatenate([common, other])))]
+    keyed = n.chains(spark.createDataFrame(rows, "rank long, ring array<long>"))
+    pairs = {(r["head"], r["rank"]) for r in n._met(keyed, ["key"], 9).collect()}
+    assert pairs >= {(2 * k, 2 * k + 1) for k in range(300)}
+    assert len(pairs) < 310
+    # Keys dealt out in pairs of blocks give the same.
+    hot = keyed.select("key").distinct().withColumn("blocks", F.lit(3))
+    assert {(r["head"], r["rank"]) for r in n._met(n._dealt(keyed, hot), ["key", "low", "high"], 9).collect()} == pairs
+
+
+def test_every_link_of_a_group_is_tested(spark):
+    """Many variants of one text, most pairs of which are near 0.8: none that stays is close to another."""
+    rng = random.Random(31)
+    base = " ".join(f"w{rng.randrange(5000)}" for _ in range(150))
+    texts = [changed(rng, base, rng.randint(2, 6)) for _ in range(150)]
+    kept = [r[0] for r in n.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()]
+    expected = []
+    for i, text in enumerate(texts):
+        if not any(similarity(texts[j], text) >= 0.8 for j in expected):
+            expected.append(i)
+    assert 5 < len(expected) < 140 and sorted(kept) == expected
