@@ -9,13 +9,16 @@ the two agree there. That start and the two segments are the key. Beyond that di
 must agree, but 160 may: at 0.8 some one does but for a few pairs in ten thousand. The chain is
 then followed over 16 segments, with a budget of its own, before a pair is a candidate.
 
-Documents are numbered by id. Within a key each is paired with the first few candidates before it,
-and it is tested against the first of all that are not gone, then against four times as many, and so
-on. So a group of near copies gives tests in proportion to its size and to the rows that stay of it.
-The whole ring has a budget too, and only pairs within it have their sets looked up. A document goes
-if it is close to one that stays, and one stays for good when all its candidates before it are
-tested or gone. Documents whose keys had more candidates go through those keys again, with a greater
-number each time, until every candidate that is not gone is tested. Each round is a stored table.
+Documents are numbered by id. Within a key each is paired with the first candidate before it, and
+it is tested against the first of all that are not gone, then against four times as many, and so
+on; a round reads what the round before left open, so a candidate is read again only while both of
+its documents stay. So a group of near copies gives tests in proportion to its size and to the rows
+that stay of it. The whole ring has a budget too, and only pairs within it have their sets looked
+up. A document goes if it is close to one that stays, and one stays for good when all its candidates
+before it are tested or gone. Documents whose keys had more candidates go through those keys again,
+with eight times the number each time, until every candidate that is not gone is tested. Most of a
+group is gone by then, and a bitmap of the keys leaves out all others, so the few rows left carry
+their whole rings, and only pairs within the ring's budget count. Each round is a stored table.
 """
 
 import numpy as np
@@ -37,7 +40,7 @@ BUDGET = 24
 #: Bits that whole rings may differ in: at 0.8 they differ in 192 with a deviation of 13.
 RING_BUDGET = 245
 #: Candidates before a document that each of its keys gives in the first pass, and their growth.
-HEADS = 8
+HEADS = 1
 HEADS_GROWTH = 8
 #: Growth of the number of a document's candidates that a round tests; the first round tests one.
 TESTS_GROWTH = 4
@@ -85,18 +88,35 @@ def _rings(batch):
     return batch.column("ring").flatten().to_numpy().view(np.uint8).reshape(-1, SEGMENTS)
 
 
-def chains(nodes):
-    """(key, rank, a, b) for each segment of each node: the chain from there on as two numbers."""
+def chains(nodes, wanted=None):
+    """(key, rank, a, b) for each segment of each node: the chain from there on as two numbers.
+
+    With ``wanted``, a bitmap, only of its keys, and with the whole ring.
+    """
+    ddl = "key int, rank long, a long, b long" + ("" if wanted is None else ", ring binary")
 
     def work(slices):
         for batch in slices:
             rings = _rings(batch)
+            keys = _keys(rings)
             around = np.concatenate([rings, rings[:, : CHAIN - 1]], axis=1)
-            parts = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(around, CHAIN, axis=1)).view(np.int64)
-            ranks = np.repeat(batch.column("rank").to_numpy(), SEGMENTS)
-            yield {"key": _keys(rings).ravel(), "rank": ranks, "a": parts[..., 0].ravel(), "b": parts[..., 1].ravel()}
+            parts = np.lib.stride_tricks.sliding_window_view(around, CHAIN, axis=1)
+            node, start = np.nonzero(np.ones_like(keys) if wanted is None else wanted[keys >> 3] >> (keys & 7) & 1)
+            parts = np.ascontiguousarray(parts[node, start]).view(np.int64)
+            found = {"key": keys[node, start], "rank": batch.column("rank").to_numpy()[node], "a": parts[:, 0], "b": parts[:, 1]}
+            yield found if wanted is None else {**found, "ring": [rings[k].tobytes() for k in node]}
+
+    return map_slices(nodes.select("rank", "ring"), work, ddl, RINGS)
+
 
-    return map_slices(nodes.select("rank", "ring"), work, "key int, rank long, a long, b long", RINGS)
+def key_bitmap(keys):
+    """All keys as one bit each, 1.3 MB however many there are."""
+    after = F.col("key") + 1  # Spark's buckets of 32,768 bits start at 1
+    buckets = keys.groupBy(F.bitmap_bucket_number(after)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(after)))
+    bits = np.zeros((SEGMENTS * 2, 4096), dtype=np.uint8)
+    for bucket, own in buckets.collect():
+        bits[bucket - 1] = np.frombuffer(own, dtype=np.uint8)
+    return bits.ravel()
 
 
 def hot_keys(nodes):
@@ -121,11 +141,11 @@ def _dealt(keyed, hot):
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(F.least(other, block).alias("low"), F.greatest(other, block).alias("high"), (block > other).cast("int").alias("side")),
     )
-    return keyed.join(hot, "key").select("key", "rank", "a", "b", F.inline(both))
+    return keyed.join(hot, "key").select(*keyed.columns, F.inline(both))
 
 
 def _met(keyed, by, most):
-    """(key, head, rank): per group the first ``most`` candidates before each row; a head of -1 says that there are more."""
+    """(key, head, rank, more): per group the first ``most`` candidates before each row; the last says if there are more."""
     ordered = keyed.repartition(*by).sortWithinPartitions(*by, "rank")
 
     def work(slices):
@@ -144,16 +164,19 @@ def _met(keyed, by, most):
         if held is not None:
             yield from _met_in(held, by, most)
 
-    return map_slices(ordered, work, "key int, head long, rank long", CHAINS)
+    return map_slices(ordered, work, "key int, head long, rank long, more boolean", CHAINS)
 
 
 def _met_in(table, by, most):
     key, rank, *names = (table[c].to_numpy() for c in ("key", "rank", *by))
     a, b = (table[c].to_numpy().view(np.uint64) for c in "ab")
+    rings = None
+    if "ring" in table.column_names:
+        rings = np.frombuffer(b"".join(table["ring"].to_pylist()), dtype=np.uint64).reshape(-1, SEGMENTS // 8)
     opens = np.concatenate([[True], np.any([c[1:] != c[:-1] for c in names], axis=0)])
     first = np.maximum.accumulate(np.where(opens, np.arange(len(key)), 0))
     place, found = np.arange(len(key)) - first, np.zeros(len(key), dtype=np.int64)
-    left, at, heads, rows = np.flatnonzero(place), 0, [], []
+    last, left, at, heads, rows = np.zeros(len(key), dtype=np.int64), np.flatnonzero(place), 0, [], []
     while len(left):
         head = first[left] + at
         close = np.bitwise_count(a[left] ^ a[head]) + np.bitwise_count(b[left] ^ b[head]) <= BUDGET
@@ -161,15 +184,22 @@ def _met_in(table, by, most):
             side, low, high = (table[c].to_numpy() for c in ("side", "low", "high"))
             close &= (side[left] != side[head]) | (low[left] == high[left])
         mine, head = left[close], head[close]
-        heads.append(np.where(found[mine] < most, rank[head], -1))
-        rows.append(mine)
+        if rings is not None:
+            near = np.bitwise_count(rings[mine] ^ rings[head]).sum(axis=1) <= RING_BUDGET
+            mine, head = mine[near], head[near]
         found[mine] += 1
+        early, final = found[mine] < most, found[mine] == most
+        heads.append(rank[head[early]])
+        rows.append(mine[early])
+        last[mine[final]] = rank[head[final]]
         at += 1
         left = left[(place[left] > at) & (found[left] <= most)]
         if not len(left) or sum(map(len, rows)) > CHAINS:
             own = np.concatenate(rows)
-            yield {"key": key[own], "head": np.concatenate(heads), "rank": rank[own]}
+            yield {"key": key[own], "head": np.concatenate(heads), "rank": rank[own], "more": np.zeros(len(own), dtype=bool)}
             heads, rows = [], []
+    own = np.flatnonzero(found >= most)
+    yield {"key": key[own], "head": last[own], "rank": rank[own], "more": found[own] > most}
 
 
 def node_of(words):
@@ -220,49 +250,52 @@ def dropped_nodes(docs, id_col="doc_id", text_col="text"):
     nodes = stored(nodes.orderBy("least_id", "node").withColumn("rank", F.monotonically_increasing_id()), "nodes")
 
     def without(pairs, gone):
-        return pairs.join(gone.withColumnRenamed("rank", "a"), "a", "left_anti").join(gone.withColumnRenamed("rank", "b"), "b", "left_anti")
+        return pairs.join(gone.withColumnRenamed("rank", "b"), "b", "left_anti").join(gone.withColumnRenamed("rank", "a"), "a", "left_anti")
 
     number = tests = steps = 0
-    keys = None
+    wanted = None
     while True:
         # The first pass takes all nodes, later ones the keys in which candidates were left out.
         here = nodes.join(so_far("gone", "rank long", steps), "rank", "left_anti")
         most = HEADS * HEADS_GROWTH**number
-        keyed = chains(here) if keys is None else chains(here).join(keys, "key", "left_semi")
+        keyed = chains(here, wanted)
         hot = stored(hot_keys(here), f"hot-{number}")
         if hot.isEmpty():
             met = _met(keyed, ["key"], most)
         else:
             met = _met(keyed.join(hot, "key", "left_anti"), ["key"], most).union(_met(_dealt(keyed, hot), ["key", "low", "high"], most))
         met = stored(met, f"met-{number}")
-        more = met.where("head < 0").select("key", "rank")
-        pairs = met.where("head >= 0").select(F.col("head").alias("a"), F.col("rank").alias("b")).distinct()
-        candidates = stored(pairs, f"candidates-{number}")
+        more = met.where("more").select("key", "rank")
+        candidates = met.select(F.col("head").alias("a"), F.col("rank").alias("b")).distinct()
+        candidates = candidates.join(so_far("pairs", "a long, b long", tests), ["a", "b"], "left_anti")
 
         share = 1
         while True:
-            left = without(candidates, so_far("gone", "rank long", steps)).join(so_far("pairs", "a long, b long", tests), ["a", "b"], "left_anti")
-            left = left.withColumn("place", F.row_number().over(Window.partitionBy("b").orderBy("a")))
-            waiting = stored(left.where(F.col("place") == share + 1).select(F.col("b").alias("rank")), f"waiting-{tests}")
+            left = candidates.withColumn("place", F.row_number().over(Window.partitionBy("b").orderBy("a")))
+            left = stored(left, f"left-{tests}")
+            waiting = left.where(F.col("place") == share + 1).select(F.col("b").alias("rank"))
             pairs = stored(left.where(F.col("place") <= share).select("a", "b"), f"pairs-{tests}")
             stored(_close(docs, nodes, pairs, lambda frame, name: stored(frame, f"{name}-{tests}")), f"close-{tests}")  # noqa: B023
             tests += 1
             while True:
                 # Of the close pairs whose nodes are both open, a head is the later one of none and waits for no candidate.
-                left = stored(without(so_far("close", "a long, b long", tests), so_far("gone", "rank long", steps)), f"open-{steps}")
-                unsettled = left.select("b").union(more.select("rank")).union(waiting).toDF("a").distinct()
-                heads = left.select("a").distinct().join(unsettled, "a", "left_anti")
-                now = stored(left.join(heads, "a", "left_semi").select(F.col("b").alias("rank")).distinct(), f"gone-{steps}")
+                close = stored(without(so_far("close", "a long, b long", tests), so_far("gone", "rank long", steps)), f"open-{steps}")
+                unsettled = close.select("b").union(more.select("rank")).union(waiting).toDF("a").distinct()
+                heads = close.select("a").distinct().join(unsettled, "a", "left_anti")
+                now = stored(close.join(heads, "a", "left_semi").select(F.col("b").alias("rank")).distinct(), f"gone-{steps}")
                 steps += 1
                 if now.isEmpty():
                     break
             if waiting.isEmpty():
                 break
+            # Every round reads only what the one before has left open.
+            candidates = without(left.where(F.col("place") > share).select("a", "b"), so_far("gone", "rank long", steps))
             share *= TESTS_GROWTH
         gone = so_far("gone", "rank long", steps)
         keys = stored(more.join(gone, "rank", "left_anti").select("key").distinct(), f"keys-{number}")
         if keys.isEmpty():
             return nodes, gone
+        wanted = key_bitmap(keys)
         number += 1
 
 

@@ -108,3 +108,62 @@ def test_every_link_of_a_group_is_tested(spark):
         if not any(similarity(texts[j], text) >= 0.8 for j in expected):
             expected.append(i)
     assert 5 < len(expected) < 140 and sorted(kept) == expected
+
+
+def test_a_group_gives_rows_in_proportion(spark, tmp_path, monkeypatch):
+    """Of a group of near copies a key gives one candidate a document, and a round reads only what is open."""
+    monkeypatch.setattr(n, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    rng = random.Random(5)
+    base = " ".join(f"w{rng.randrange(5000)}" for _ in range(150))
+    texts = [base, *(changed(rng, base, 1) for _ in range(199))]
+    assert [r[0] for r in n.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()] == [0]
+    rows = lambda name: sum(spark.read.parquet(str(p)).count() for p in (tmp_path / "near-copies").glob(f"{name}-*"))
+    assert rows("met") <= len(texts) * n.SEGMENTS
+    assert rows("pairs") == len(texts) - 1
+    first = spark.read.parquet(str(tmp_path / "near-copies" / "left-0")).count()
+    assert rows("left") == first
+
+
+def rows_of_rings(spark):
+    """Rings that differ from one of five in some bits."""
+    rng = np.random.default_rng(12)
+    bases = rng.integers(0, 2, (5, n.SEGMENTS * 8), dtype=np.uint8)
+    rings = [np.packbits(bases[k % 5] ^ (rng.random(n.SEGMENTS * 8) < rng.choice([0.03, 0.08, 0.11]))) for k in range(120)]
+    rows = [(k, r.view(np.int64).tolist()) for k, r in enumerate(rings)]
+    return rings, spark.createDataFrame(rows, "rank long, ring array<long>")
+
+
+def test_a_bitmap_leaves_the_keys_wanted(spark):
+    _, nodes = rows_of_rings(spark)
+    everything = n.chains(nodes).collect()
+    keys = sorted({r["key"] for r in everything})
+    wanted = {0, 32767, 32768, n.SEGMENTS * 65536 - 1, keys[0], keys[-1], *keys[::7]}
+    bits = n.key_bitmap(spark.createDataFrame([(k,) for k in wanted], "key int"))
+    assert set(np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist()) == wanted
+    found = n.chains(nodes, bits)
+    assert sorted(tuple(r) for r in found.drop("ring").collect()) == sorted(tuple(r) for r in everything if r["key"] in wanted)
+    rings = {r["rank"]: np.array(r["ring"]).tobytes() for r in nodes.collect()}
+    assert all(bytes(r["ring"]) == rings[r["rank"]] for r in found.collect())
+
+
+def test_first_candidates_and_whether_there_are_more(spark):
+    rings, nodes = rows_of_rings(spark)
+    keyed = n.chains(nodes)
+    full = n.chains(nodes, np.full(n.SEGMENTS * 8192, 255, dtype=np.uint8))
+    groups = {}
+    for r in sorted(keyed.collect(), key=lambda r: r["rank"]):
+        groups.setdefault(r["key"], []).append((r["rank"], r["a"], r["b"]))
+    apart = lambda x, y: ((x ^ y) & (1 << 64) - 1).bit_count()
+    bits = {(i, j): int(np.unpackbits(rings[i] ^ rings[j]).sum()) for i in range(len(rings)) for j in range(i)}
+    for frame, limit in ((keyed, n.SEGMENTS * 8), (full, n.RING_BUDGET)):
+        for most in (1, 3, 50):
+            expected = set()
+            for key, own in groups.items():
+                for at, (rank, a, b) in enumerate(own):
+                    heads = [h for h, x, y in own[:at] if apart(a, x) + apart(b, y) <= n.BUDGET and bits[rank, h] <= limit]
+                    expected |= {(key, h, rank, k == most - 1 and len(heads) > most) for k, h in enumerate(heads[:most])}
+            assert {tuple(r) for r in n._met(frame, ["key"], most).collect()} == expected
+            assert any(r[3] for r in expected) == (most < 50)
+        hot = frame.select("key").distinct().withColumn("blocks", F.lit(3))
+        dealt = n._met(n._dealt(frame, hot), ["key", "low", "high"], 50)
+        assert {(r["key"], r["head"], r["rank"]) for r in dealt.collect()} == {r[:3] for r in expected}
