@@ -119,16 +119,18 @@ def key_bitmap(keys):
     return bits.ravel()
 
 
-def hot_keys(nodes):
+def hot_keys(nodes, wanted=None):
     """Keys of over ``KEY_BLOCK`` nodes, and the number of blocks that they are dealt out in.
 
-    Only keys that come twice in a slice are counted, so a key near the limit may be left out.
+    Only keys that come twice in a slice are counted, so a key near the limit may be left out,
+    and with ``wanted`` only its keys.
     """
 
     def work(slices):
         for batch in slices:
             keys, n = np.unique(_keys(_rings(batch)), return_counts=True)
-            yield {"key": keys[n > 1], "n": n[n > 1]}
+            often = n > 1 if wanted is None else (n > 1) & (wanted[keys >> 3] >> (keys & 7) & 1 > 0)
+            yield {"key": keys[often], "n": n[often]}
 
     counts = map_slices(nodes.select("rank", "ring"), work, "key int, n long", 4 * RINGS).groupBy("key").agg(F.sum("n").alias("n"))
     return counts.where(F.col("n") > KEY_BLOCK).select("key", F.ceil(F.col("n") / (KEY_BLOCK // 2)).cast("int").alias("blocks"))
@@ -259,7 +261,7 @@ def dropped_nodes(docs, id_col="doc_id", text_col="text"):
         here = nodes.join(so_far("gone", "rank long", steps), "rank", "left_anti")
         most = HEADS * HEADS_GROWTH**number
         keyed = chains(here, wanted)
-        hot = stored(hot_keys(here), f"hot-{number}")
+        hot = stored(hot_keys(here, wanted), f"hot-{number}")
         if hot.isEmpty():
             met = _met(keyed, ["key"], most)
         else:
@@ -300,18 +302,23 @@ def dropped_nodes(docs, id_col="doc_id", text_col="text"):
 
 
 def _close(docs, nodes, pairs, stored):
-    """The pairs of which the sets of shingles are close."""
-    for c, ring_of in (("a", "p"), ("b", "q")):
-        pairs = pairs.join(nodes.select(F.col("rank").alias(c), F.col("ring").alias(ring_of)), c)
+    """The pairs of which the sets of shingles are close.
+
+    Few rows meet all nodes or texts here. They are stored first, so that Spark knows how few
+    they are before it deals out nodes or texts for a join.
+    """
+    ends_of = lambda pairs: pairs.withColumn("rank", F.explode(F.array("a", "b")))
+    side = lambda c, of: F.max(F.when(F.col("rank") == F.col(c), F.col(of)))
+    rings = ends_of(pairs).join(nodes.select("rank", "ring"), "rank").groupBy("a", "b").agg(side("a", "ring").alias("p"), side("b", "ring").alias("q"))
     differ = F.aggregate(F.zip_with("p", "q", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda x, y: x + y)
-    near = stored(pairs.where(differ <= RING_BUDGET).select("a", "b"), "near")
-    ends = near.withColumn("rank", F.explode(F.array("a", "b")))
-    wanted = ends.select("rank").distinct().join(nodes, "rank").select("rank", "node", F.col("least_id").alias("doc_id"))
-    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    near = stored(rings.where(differ <= RING_BUDGET).select("a", "b"), "near")
+    ends = ends_of(near)
+    ranks = stored(ends.select("rank").distinct(), "ends")
+    wanted = stored(nodes.join(ranks, "rank", "left_semi").select("rank", "node", F.col("least_id").alias("doc_id")), "wanted")
+    texts = docs.join(wanted.select("doc_id"), "doc_id", "left_semi")
     found = _mapped(texts, "hashes array<long>", lambda w: (shingles(w).view(np.int64).tolist(),))
     sets = stored(found.join(wanted, ["node", "doc_id"]).dropDuplicates(["rank"]).select("rank", "hashes"), "sets")
-    side = lambda c: F.max(F.when(F.col("rank") == F.col(c), F.col("hashes")))
-    met = ends.join(sets, "rank").groupBy("a", "b").agg(side("a").alias("x"), side("b").alias("y"))
+    met = ends.join(sets, "rank").groupBy("a", "b").agg(side("a", "hashes").alias("x"), side("b", "hashes").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     return met.where(both * SIMILAR[1] >= (F.size("x") + F.size("y") - both) * SIMILAR[0]).select("a", "b")
 
